@@ -22,6 +22,7 @@ from headway.plans.snapshots import bronze_rows, gold_window, silver_rows
 from headway.schemas import ROUTE_PATTERNS, ROUTES, SCHEDULES, STOPS, TRIPS, Entity
 from headway.sources.files import fresh_folder
 from headway.sources.landing import parse_documents, read_batch, write_documents, write_grouped
+from headway.sources.layer import LayerTable, key_buckets
 from workload import fixtures as X
 
 NEW_KEY = 1_000_000_000
@@ -124,9 +125,10 @@ def bronze_incremental(spark, folder):
             "id": F.when(key % 3 == 0, F.concat(F.lit("N"), "id")).otherwise(F.col("id")),
         }
     )
-    target = _bronze(first, ROUTES)
-    source = _bronze(second, ROUTES, X.BATCH_2, X.RUN_2)
-    return X.plain(upsert(target, source, ROUTES.bronze_keys))
+    table = LayerTable(spark, fresh_folder(spark, "bronze"))
+    table.overwrite(_bronze(first, ROUTES))
+    table.upsert(_bronze(second, ROUTES, X.BATCH_2, X.RUN_2), ROUTES.bronze_keys)
+    return X.plain(table.read())
 
 
 # -- columns -----------------------------------------------------------------
@@ -203,9 +205,10 @@ def silver_incremental(spark, folder):
     bronze = _as_bronze(first, "trips_A").unionByName(
         _as_bronze(_second_trips(first), "trips_A", X.BATCH_2, X.RUN_2)
     )
-    target = silver_rows(in_batch(bronze, X.BATCH_1), TRIPS, X.RUN_1)
-    source = silver_rows(in_batch(bronze, X.BATCH_2), TRIPS, X.RUN_2)
-    return X.plain(upsert(target, source, TRIPS.silver_keys))
+    table = LayerTable(spark, fresh_folder(spark, "silver"), key_buckets("id", 4))
+    table.overwrite(silver_rows(in_batch(bronze, X.BATCH_1), TRIPS, X.RUN_1))
+    table.upsert(silver_rows(in_batch(bronze, X.BATCH_2), TRIPS, X.RUN_2), TRIPS.silver_keys)
+    return X.plain(table.read())
 
 
 # -- upserts -----------------------------------------------------------------
