@@ -1,8 +1,9 @@
 """Live records: parsing, route filter, cutoff filter, flattening, envelope, counters.
 
-Records arrive as rows ``endpoint, record`` with one JSON:API object as text.
-All three endpoints share one projection; a field an endpoint does not publish
-is null there, and the JSON envelope leaves nulls out.
+Parsed records are rows ``endpoint, id, type, attributes, relationships``, from a
+JSON scan with ``RECORD_DDL`` or from text through ``parse``. All three endpoints
+share one projection; a field an endpoint does not publish is null there, and
+the JSON envelope leaves nulls out.
 """
 
 from __future__ import annotations
@@ -30,18 +31,21 @@ def _all_links() -> list[str]:
     return list(dict.fromkeys(link for links in LIVE_LINKS.values() for link in links))
 
 
-def record_ddl() -> str:
-    """Type of a live record; relationship ``data`` stays text as its shape varies."""
+def _record_ddl() -> str:
     entities = ",".join(f"{t}:string" for t in ALERT_TARGETS)
     attributes = ",".join(f"{n}:{k}" for n, k in _all_fields().items())
     links = ",".join(f"{link}:struct<data:string>" for link in _all_links())
     return (
-        f"struct<id:string,type:string,"
-        f"attributes:struct<{attributes},informed_entity:array<struct<{entities}>>>,"
-        f"relationships:struct<{links}>>"
+        f"id string, type string, "
+        f"attributes struct<{attributes},informed_entity:array<struct<{entities}>>>, "
+        f"relationships struct<{links}>"
     )
 
 
+# Columns of a live record; relationship ``data`` stays text as its shape varies.
+RECORD_DDL = _record_ddl()
+
+
 def split_pages(pages: DataFrame, item_type: str, page: str = "page") -> DataFrame:
     """Rows of all pages of a listing, in place of the page text: one union of their ``data``."""
     return pages.select(
@@ -51,8 +55,13 @@ def split_pages(pages: DataFrame, item_type: str, page: str = "page") -> DataFra
 
 
 def parse(records: DataFrame) -> DataFrame:
-    """``record`` text as a struct; other columns pass through."""
-    return records.withColumn("record", F.from_json("record", record_ddl()))
+    """``record`` text as the record's columns; other columns pass through.
+
+    The parse sits in a generator: the filters that follow then read its result
+    instead of being pushed below it, where each would parse the text again.
+    """
+    kept = [c for c in records.columns if c != "record"]
+    return records.select(*kept, F.inline(F.array(F.from_json("record", RECORD_DDL))))
 
 
 def _published(name: str, value: Column, owners: dict) -> Column:
@@ -68,14 +77,14 @@ def filter_routes(parsed: DataFrame, routes: Sequence[str] = DEFAULT_ROUTES) ->
 
     Vehicles and alerts are unrestricted and carry no filter route.
     """
-    route = related_id(F.col("record.relationships.route.data"))
+    route = related_id(F.col("relationships.route.data"))
     wanted = list(routes) or list(DEFAULT_ROUTES)
     predicted = F.col("endpoint") == "predictions"
     return parsed.where(~predicted | route.isin(wanted)).withColumn("filter_route", F.when(predicted, route))
 
 
 def changed_at() -> Column:
-    attributes = F.col("record.attributes")
+    attributes = F.col("attributes")
     return instant_of(first_filled(attributes["updated_at"], attributes["created_at"]))
 
 
@@ -94,7 +103,7 @@ def is_news(cutoffs: dict[str, datetime]) -> Column:
 
 def flatten(parsed: DataFrame) -> DataFrame:
     """Envelope inputs, published attributes and related ids as flat columns."""
-    attributes, links = F.col("record.attributes"), F.col("record.relationships")
+    attributes, links = F.col("attributes"), F.col("relationships")
     columns = {
         name: _published(name, attributes[name], LIVE_FIELDS) for name in _all_fields()
     }
@@ -106,11 +115,11 @@ def flatten(parsed: DataFrame) -> DataFrame:
     for target in ALERT_TARGETS:
         informed = distinct_ids(attributes["informed_entity"], target)
         columns[f"{target}_ids"] = F.when(is_alert, informed).otherwise(columns[f"{target}_ids"])
-    passed = [c for c in parsed.columns if c != "record"]
+    passed = [c for c in parsed.columns if c not in ("id", "type", "attributes", "relationships")]
     return parsed.select(
         *passed,
-        F.col("record.type").alias("record_type"),
-        F.col("record.id").alias("record_id"),
+        F.col("type").alias("record_type"),
+        F.col("id").alias("record_id"),
         *[column.alias(name) for name, column in columns.items()],
     )
 
@@ -155,12 +164,12 @@ def count_poll(parsed: DataFrame, cutoffs: dict[str, datetime]) -> DataFrame:
 
 
 def poll_messages(
-    records: DataFrame,
+    parsed: DataFrame,
     cutoffs: dict[str, datetime],
     polled_at: datetime | str,
     routes: Sequence[str] = DEFAULT_ROUTES,
     source: str = DEFAULT_SOURCE,
 ) -> DataFrame:
     """One poll as a projection over its records: no shuffle, no state of its own."""
-    wanted = filter_routes(parse(records), routes).where(is_news(cutoffs))
+    wanted = filter_routes(parsed, routes).where(is_news(cutoffs))
     return envelope(flatten(wanted), polled_at, source)

@@ -18,11 +18,11 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def read_records(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Landed live records, newline-delimited JSON text in ``endpoint=<name>`` folders."""
-    reader = spark.readStream.schema("record string, endpoint string")
+    """Landed live records, newline-delimited JSON in ``endpoint=<name>`` folders."""
+    reader = spark.readStream.schema(f"{live.RECORD_DDL}, endpoint string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.format("text").load(folder)
+    return reader.json(folder)
 
 
 def file_sink(folder: str) -> Sink:
@@ -66,10 +66,10 @@ def poll_batch(
     the micro-batch is repeated with the cutoffs it had before.
     """
 
-    def run(records: DataFrame, epoch: int) -> None:
+    def run(parsed: DataFrame, epoch: int) -> None:
         polled_at = clock()
         cutoffs = {} if full_backfill else state.before(epoch)
-        parsed = live.filter_routes(live.parse(records), routes).withColumn("_news", live.is_news(cutoffs))
+        wanted = live.filter_routes(parsed, routes).withColumn("_news", live.is_news(cutoffs))
         seen = Observation()
         counts = [
             metric
@@ -79,7 +79,7 @@ def poll_batch(
                 F.count_if((F.col("endpoint") == endpoint) & F.col("_news")).alias(f"{endpoint}_sent"),
             )
         ]
-        news = parsed.observe(seen, *counts).where("_news").drop("_news")
+        news = wanted.observe(seen, *counts).where("_news").drop("_news")
         sink(live.envelope(live.flatten(news), polled_at, source), epoch)
         state.save(epoch, dict.fromkeys(LIVE_FIELDS, polled_at))
         if report:
@@ -89,22 +89,22 @@ def poll_batch(
 
 
 def start_poll(
-    records: DataFrame,
+    parsed: DataFrame,
     checkpoint: str,
     body: Callable[[DataFrame, int], None],
     once: bool = False,
 ) -> StreamingQuery:
     """Start polling every minute, or work off what has landed and stop (``once``)."""
-    writer = records.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    writer = parsed.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": POLL_INTERVAL}
     return writer.trigger(**trigger).start()
 
 
 def message_stream(
-    records: DataFrame,
+    parsed: DataFrame,
     polled_at: datetime | str,
     routes: Sequence[str] = live.DEFAULT_ROUTES,
     source: str = live.DEFAULT_SOURCE,
 ) -> DataFrame:
     """Full-backfill messages as a stateless stream, for any sink with ``topic, key, value``."""
-    return live.poll_messages(records, {}, polled_at, routes, source)
+    return live.poll_messages(parsed, {}, polled_at, routes, source)

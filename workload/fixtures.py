@@ -28,6 +28,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Feed text-heavy shapes to every core when the scan has fewer splits than cores.
+
+    A small table is one row group, hence one task; a large one already has more
+    splits than cores and passes through without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -120,7 +132,7 @@ def _trip_direction(key: Column) -> Column:
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
+    return spread(table(spark, folder, "orders")).select(
         _trip_id(key).alias("id"),
         (key % 3).alias("bikes_allowed"),
         F.when(key % 13 != 0, F.concat(F.lit("B"), text(key % 1000))).alias("block_id"),
@@ -135,10 +147,11 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _stop_times(spark: SparkSession, folder: str) -> DataFrame:
+def _stop_times(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
+    lines = spread(lines) if heavy else lines
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     minutes = 7 * F.col("l_linenumber")
     day = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
@@ -158,7 +171,7 @@ def schedules(spark: SparkSession, folder: str) -> DataFrame:
         shown = F.date_format(F.timestamp_seconds(F.col(seconds)), "yyyy-MM-dd'T'HH:mm:ss")
         return F.concat(shown, F.lit("-05:00"))
 
-    return _stop_times(spark, folder).select(
+    return _stop_times(spark, folder, heavy=True).select(
         F.concat_ws("-", *[text(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey")]).alias("id"),
         local("arrives").alias("arrival_time"),
         local("departs").alias("departure_time"),
@@ -225,7 +238,7 @@ def _iso(instant: Column) -> Column:
 
 def live_records(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """One JSON:API record text per event: ``endpoint, record``."""
-    events = table(spark, folder, "events") if events is None else events
+    events = spread(table(spark, folder, "events") if events is None else events)
     key, user = F.col("event_id"), text("user_id")
     ts = F.col("ts").cast("timestamp")
     route = F.get_json_object("props", "$.k")

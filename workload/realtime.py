@@ -28,7 +28,7 @@ def _parsed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _keys(parsed: DataFrame) -> DataFrame:
-    return parsed.select("endpoint", F.col("record.id").alias("record_id"), "filter_route")
+    return parsed.select("endpoint", F.col("id").alias("record_id"), "filter_route")
 
 
 def route_filter(spark, folder):
@@ -74,7 +74,7 @@ def _opened(messages: DataFrame) -> DataFrame:
 
 
 def envelope(spark, folder):
-    return _opened(live.poll_messages(X.live_records(spark, folder), CUTOFFS, POLLED_AT, ROUTES))
+    return _opened(live.poll_messages(_parsed(spark, folder), CUTOFFS, POLLED_AT, ROUTES))
 
 
 def poll_counters(spark, folder):
@@ -89,7 +89,7 @@ def stream_envelope(spark: SparkSession, folder: str) -> DataFrame:
         .option("pathGlobFilter", "events.parquet")
         .parquet(folder)
     )
-    messages = message_stream(X.live_records(spark, folder, events), POLLED_AT, ROUTES)
+    messages = message_stream(live.parse(X.live_records(spark, folder, events)), POLLED_AT, ROUTES)
     query = (
         messages.writeStream.format("parquet")
         .partitionBy("topic")
