@@ -13,12 +13,16 @@ from pyspark.sql import DataFrame
 
 from headway.functions.batch_ids import window_start
 from headway.operators.shape import clean, flatten_documents, in_batch, stamp
-from headway.operators.trip_facts import on_or_after, trip_facts
+from headway.operators.trip_facts import fits_broadcast, narrow_to_groups, on_or_after, trip_facts, window_groups
 from headway.plans.layers import Lake
 from headway.schemas import ENTITIES, ROUTE_PATTERNS, ROUTES, SCHEDULES, TRIPS, Entity
 from headway.session import prepare
+from headway.sources.files import Staging
 from headway.sources.landing import read_batch
 
+# An incremental gold run broadcasts the groups of its window up to this size.
+WINDOW_BROADCAST_BYTES = 128 * 1024 * 1024
+
 
 def bronze_rows(documents: DataFrame, entity: Entity, batch_id: str, run_ts: datetime | None = None) -> DataFrame:
     """Landing documents of a batch as stamped bronze rows.
@@ -34,8 +38,26 @@ def silver_rows(bronze: DataFrame, entity: Entity, run_ts: datetime | None = Non
     return stamp(clean(bronze, entity), run_ts, digest=True)
 
 
-def gold_window(facts: DataFrame, first_day: date, run_ts: datetime | None = None) -> DataFrame:
-    """The stamped facts an incremental run writes."""
+def gold_window(
+    schedules: DataFrame,
+    routes: DataFrame,
+    trips: DataFrame,
+    patterns: DataFrame,
+    first_day: date,
+    staging: Staging,
+    run_ts: datetime | None = None,
+) -> DataFrame:
+    """The stamped facts from ``first_day`` on, as an incremental run writes them.
+
+    A fact's date is its earliest departure, so the window cannot filter the
+    schedules directly. But only groups with some departure in the window can
+    start there; if those are few enough to broadcast, the rest of the history
+    is dropped before the aggregation instead of being shuffled through it.
+    """
+    groups = staging.keep(window_groups(schedules, first_day))
+    if fits_broadcast(groups, WINDOW_BROADCAST_BYTES):
+        schedules, trips = narrow_to_groups(schedules, trips, groups)
+    facts = trip_facts(schedules, routes, trips, patterns)
     return stamp(facts.where(on_or_after(first_day)), run_ts)
 
 
@@ -62,9 +84,6 @@ def load_silver(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=No
         table.upsert(silver_rows(latest, entity, run_ts), entity.silver_keys)
 
 
-def _facts(lake: Lake) -> DataFrame:
-    return trip_facts(*[lake.silver(e).read() for e in (SCHEDULES, ROUTES, TRIPS, ROUTE_PATTERNS)])
-
 
 def load_gold(lake: Lake, batch_id: str, full: bool, run_ts=None, audited: bool = False) -> None:
     """Full build, or replacement of every service date from the day before the batch.
@@ -74,12 +93,15 @@ def load_gold(lake: Lake, batch_id: str, full: bool, run_ts=None, audited: bool
     neither read nor written.
     """
     table = lake.trips_metrics
+    silver = [lake.silver(e).read() for e in (SCHEDULES, ROUTES, TRIPS, ROUTE_PATTERNS)]
     if full:
-        table.overwrite(stamp(_facts(lake), run_ts) if audited else _facts(lake))
+        facts = trip_facts(*silver)
+        table.overwrite(stamp(facts, run_ts) if audited else facts)
         return
     first_day = window_start(batch_id)
-    rows = gold_window(_facts(lake), first_day, run_ts)
-    table.replace(rows, drop=lambda value: value is not None and date.fromisoformat(value) >= first_day)
+    with Staging(lake.spark, "gold") as staging:
+        rows = gold_window(*silver, first_day, staging, run_ts)
+        table.replace(rows, drop=lambda value: value is not None and date.fromisoformat(value) >= first_day)
 
 
 def run(

@@ -12,7 +12,7 @@ from headway.operators.trip_facts import rollup_schedules
 from headway.session import prepare
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"landing_scan", "landing_glob_scan", "stream_envelope", "stream_incremental"}
+EAGER = {"landing_scan", "landing_glob_scan", "stream_envelope", "stream_incremental"}  # write before they read
 
 
 def _plan(frame) -> str:

@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 from documents import call, land, pattern, route, stop, trip
+from headway.plans import snapshots
 from headway.plans.layers import Lake
 from headway.plans.snapshots import load_bronze, load_gold, load_silver, run
 from headway.schemas import ROUTE_PATTERNS, ROUTES, SCHEDULES, STOPS, TRIPS
@@ -156,6 +157,15 @@ def test_batch_on_the_first_of_a_month(lake):
     assert lake.trips_metrics.read().count() == 5
 
 
+def test_window_facts_do_not_depend_on_the_broadcast_limit(lake, monkeypatch):
+    _land_second(lake.landing)
+    run(lake, B2, full=False, run_ts=T2)
+    narrowed = sorted(lake.trips_metrics.read().collect(), key=repr)
+    monkeypatch.setattr(snapshots, "WINDOW_BROADCAST_BYTES", -1)
+    load_gold(lake, B2, full=False, run_ts=T2)
+    assert sorted(lake.trips_metrics.read().collect(), key=repr) == narrowed
+
+
 def test_audited_first_build(lake):
     load_gold(lake, B1, full=True, run_ts=T1, audited=True)
     assert lake.trips_metrics.read().where("created_ts IS NULL").count() == 0

@@ -20,7 +20,7 @@ from headway.operators.trip_facts import (
 from headway.operators.upsert import upsert
 from headway.plans.snapshots import bronze_rows, gold_window, silver_rows
 from headway.schemas import ROUTE_PATTERNS, ROUTES, SCHEDULES, STOPS, TRIPS, Entity
-from headway.sources.files import fresh_folder
+from headway.sources.files import Staging, fresh_folder
 from headway.sources.landing import parse_documents, read_batch, write_documents, write_grouped
 from headway.sources.layer import LayerTable, key_buckets
 from workload import fixtures as X
@@ -308,16 +308,22 @@ def trips_metrics_audited(spark, folder):
     return X.plain(stamp(_facts(spark, folder), X.RUN_1))
 
 
+def _window(spark, folder):
+    sides = (_routes(spark, folder), _trips(spark, folder), _patterns(spark, folder))
+    staging = Staging(spark, "gold-window")
+    return gold_window(
+        X.silver_schedules(spark, folder), *sides, window_start(X.GOLD_BATCH), staging, X.RUN_2
+    )
+
+
 def gold_incremental(spark, folder):
-    return X.plain(gold_window(_facts(spark, folder), window_start(X.GOLD_BATCH), X.RUN_2))
+    return X.plain(_window(spark, folder))
 
 
 def gold_replace_where(spark, folder):
     """The stored table counts one stop too many; the window is put right."""
-    facts = _facts(spark, folder)
-    first_day = window_start(X.GOLD_BATCH)
-    stored = facts.withColumn("num_stops", F.col("num_stops") + 1)
-    return X.plain(replace_where(stored, gold_window(facts, first_day, X.RUN_2), on_or_after(first_day)))
+    stored = _facts(spark, folder).withColumn("num_stops", F.col("num_stops") + 1)
+    return X.plain(replace_where(stored, _window(spark, folder), on_or_after(window_start(X.GOLD_BATCH))))
 
 
 QUERIES = {
