@@ -51,7 +51,9 @@ def main() -> None:
         print(batch_id)
         return
     batch_id = args.batch_id or load_batch_id(spark, lake.landing)
-    run(lake, batch_id, full=args.job == "first-load", lines=args.lines)
+    for table, counts in run(lake, batch_id, full=args.job == "first-load", lines=args.lines).items():
+        if counts:
+            print(table, counts)
 
 
 if __name__ == "__main__":

@@ -65,23 +65,23 @@ def _landed(lake: Lake, entity: Entity, batch_id: str, lines: bool) -> DataFrame
     return read_batch(lake.spark, lake.landing, entity, batch_id, lines=lines and entity.per_route)
 
 
-def load_bronze(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=None, lines: bool = False) -> None:
+def load_bronze(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=None, lines: bool = False) -> dict | None:
+    """Rebuild the bronze table from one batch, or merge the batch in and return its row counts."""
     rows = bronze_rows(_landed(lake, entity, batch_id, lines), entity, batch_id, run_ts)
     table = lake.bronze(entity)
     if full:
-        table.overwrite(rows)
-    else:
-        table.upsert(rows, entity.bronze_keys)
+        return table.overwrite(rows)
+    return table.upsert(rows, entity.bronze_keys)
 
 
-def load_silver(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=None) -> None:
+def load_silver(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=None) -> dict | None:
+    """Rebuild the silver table from all of bronze, or merge in the rows the batch delivered."""
     bronze = lake.bronze(entity)
     table = lake.silver(entity)
     if full:
-        table.overwrite(silver_rows(bronze.read(), entity, run_ts))
-    else:
-        latest = in_batch(bronze.read(only={batch_id}), batch_id)
-        table.upsert(silver_rows(latest, entity, run_ts), entity.silver_keys)
+        return table.overwrite(silver_rows(bronze.read(), entity, run_ts))
+    latest = in_batch(bronze.read(only={batch_id}), batch_id)
+    return table.upsert(silver_rows(latest, entity, run_ts), entity.silver_keys)
 
 
 
@@ -111,12 +111,14 @@ def run(
     run_ts: datetime | None = None,
     lines: bool = False,
     entities: Iterable[Entity] = tuple(ENTITIES.values()),
-) -> None:
-    """All layers for one batch: ``full`` rebuilds, otherwise the batch is merged in."""
+) -> dict[str, dict | None]:
+    """All layers for one batch: ``full`` rebuilds, otherwise the batch is merged in.
+
+    Returns the merge counts by table, e.g. rows without a key.
+    """
     prepare(lake.spark)
     entities = list(entities)
-    for entity in entities:
-        load_bronze(lake, entity, batch_id, full, run_ts, lines)
-    for entity in entities:
-        load_silver(lake, entity, batch_id, full, run_ts)
+    counts = {f"bronze.{e.name}": load_bronze(lake, e, batch_id, full, run_ts, lines) for e in entities}
+    counts |= {f"silver.{e.name}": load_silver(lake, e, batch_id, full, run_ts) for e in entities}
     load_gold(lake, batch_id, full, run_ts)
+    return counts

@@ -9,15 +9,17 @@ from pyspark.sql import SparkSession
 
 from headway.sources.files import Files
 
+# Place and field of the marker other landing writers leave.
 _MARKER = "config/last_execution_metadata.json"
+_FIELD = "last_ts"
 
 
 def save_batch_id(spark: SparkSession, landing: str, batch_id: str) -> None:
-    Files(spark, landing).write(_MARKER, json.dumps({"last_ts": batch_id}), replace=True)
+    Files(spark, landing).write(_MARKER, json.dumps({_FIELD: batch_id}), replace=True)
 
 
 def load_batch_id(spark: SparkSession, landing: str) -> str:
-    return json.loads(Files(spark, landing).read(_MARKER))["last_ts"]
+    return json.loads(Files(spark, landing).read(_MARKER))[_FIELD]
 
 
 class PollState:
