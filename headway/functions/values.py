@@ -13,7 +13,10 @@ _INSTANT_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*(Z|[+-]\d{2}:\d{2})$"
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """SHA-256 over the text forms of ``columns`` joined by ``_``, null as empty."""
+    """SHA-256 over the text forms of ``columns`` joined by ``_``, null as empty.
+
+    The format is fixed: digests must agree with those in tables already stored.
+    """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return F.sha2(F.concat_ws("_", *parts), 256)
 

@@ -26,7 +26,8 @@ class PollState:
     """Cutoff per endpoint, one small file per finished micro-batch.
 
     A micro-batch reads the state of the ones *before* it, so running it again
-    after a crash filters with the same cutoffs as the first time.
+    after a crash filters with the same cutoffs as the first time. The folder
+    belongs to one streaming checkpoint, whose epochs it counts in.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
