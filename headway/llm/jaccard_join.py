@@ -103,14 +103,48 @@ def signatures(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
+def bitmap(members: np.ndarray) -> bytes:
+    """Which of some 2 to 4 places for each member are taken."""
+    places = max(64, 1 << (2 * len(members) - 1).bit_length())
+    taken = np.zeros(places, np.uint8)
+    taken[(members & np.uint64(places - 1)).astype(np.int64)] = 1
+    return np.packbits(taken, bitorder="little").tobytes()
+
+
+def most_shared(a: bytes, a_size: int, b: bytes, b_size: int) -> int:
+    """No two sets with these bitmaps share more members: places taken in one alone differ."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) > len(y):
+        x = np.bitwise_or.reduce(x.reshape(-1, len(y)), axis=0)
+    elif len(y) > len(x):
+        y = np.bitwise_or.reduce(y.reshape(-1, len(x)), axis=0)
+    return (a_size + b_size - int(np.bitwise_count(x ^ y).sum())) // 2
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = Words(lower=True)
     for batch in batches:
         size, key = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        bits = [b""] * batch.num_rows
         for row, members in shingle_sets(batch.column(1), words):
-            size[row], key[row] = len(members), set_key(members)
+            size[row], key[row], bits[row] = len(members), set_key(members), bitmap(members)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(size), pa.array(key), pa.array(bits, pa.binary())],
+            names=["doc_id", "n_shingles", "set_key", "bits"],
+        )
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of keys whose bitmaps do not rule the threshold out."""
+    for batch in batches:
+        a, b, a_size, b_size, a_bits, b_bits = (batch.column(i).to_pylist() for i in range(6))
+        kept = []
+        for row in range(batch.num_rows):
+            both = most_shared(a_bits[row], a_size[row], b_bits[row], b_size[row])
+            if 100 * both >= PERCENT * (a_size[row] + b_size[row] - both):
+                kept.append(row)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size), pa.array(key)], names=["doc_id", "n_shingles", "set_key"]
+            [batch.column(i).take(pa.array(kept, pa.int64())) for i in (0, 1)], names=["a", "b"]
         )
 
 
@@ -177,8 +211,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``: set keys) that are similar enough, by their representatives' texts."""
-    pairs = staged(pairs.distinct())
+    """The pairs (``a``, ``b``: set keys) that are similar enough, by their representatives' texts.
+
+    Bitmaps rule most pairs out before any text is fetched.
+    """
+    sides = [
+        classes.select(F.col("set_key").alias(x), F.col("n_shingles").alias(f"{x}_size"), F.col("bits").alias(f"{x}_bits"))
+        for x in ("a", "b")
+    ]
+    sized = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
+    sized = sized.select("a", "b", "a_size", "b_size", "a_bits", "b_bits")
+    pairs = staged(sized.mapInArrow(_may_link, "a long, b long"))
     wanted = staged(
         pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
         .join(classes.select("set_key", "least"), "set_key")
@@ -201,9 +244,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id for every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    sets = staged(docs.mapInArrow(_sets, "doc_id long, n_shingles long, set_key long"))
+    sets = staged(docs.mapInArrow(_sets, "doc_id long, n_shingles long, set_key long, bits binary"))
     known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    classes = staged(sets.where(known).groupBy("set_key").agg(F.min("doc_id").alias("least")))
+    classes = staged(
+        sets.where(known).groupBy("set_key", "n_shingles", "bits").agg(F.min("doc_id").alias("least"))
+    )
     texts = docs.where(F.col("doc_id").isNotNull())
 
     counted = (
