@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, jaccard_join, packing, pii, toxicity
+from headway.llm import decontaminate, jaccard_join, packing, pii, sharding, substring_dedup, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -20,6 +20,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -28,6 +32,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards(table(spark, folder, "documents"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
@@ -40,5 +48,16 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_benchmark_decontamination, op8_pii, op9_jaccard_join, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_toxicity,
+        op3_benchmark_decontamination,
+        op4_sharding,
+        op8_pii,
+        op9_jaccard_join,
+        op10_best_fit_packing,
+    )
+}
 ORACLE_SQL = {"op3_benchmark_decontamination": decontaminate.ORACLE_SQL}
