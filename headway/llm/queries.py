@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, jaccard_join, packing, pii, sharding, substring_dedup, toxicity
+from headway.llm import decontaminate, html_extract, jaccard_join, nearest, packing, pii, sharding, substring_dedup, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -36,6 +36,14 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shards(table(spark, folder, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
@@ -55,6 +63,8 @@ QUERIES = {
         op2_toxicity,
         op3_benchmark_decontamination,
         op4_sharding,
+        op5_html_extraction,
+        op7_nearest_neighbours,
         op8_pii,
         op9_jaccard_join,
         op10_best_fit_packing,
