@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from headway.llm.kernels import (
     Words,
     interval_union,
+    mixed,
     rabin_karp,
     rows_of,
     signed,
@@ -34,7 +35,7 @@ from headway.llm.kernels import (
     sliding_minimum,
     utf8,
 )
-from headway.llm.staging import staged
+from headway.llm.staging import bounded_batches, staged
 
 WINDOW, ANCHOR = 50, 20
 BUCKET_WINDOWS = 1_000_000
@@ -102,41 +103,52 @@ def _claims(buckets: int):
 
 
 def _packed(bucket: np.ndarray, doc: np.ndarray, value: np.ndarray, settled: bool) -> pa.RecordBatch:
-    """One row for each bucket and document, with its hashes end to end."""
-    order = np.lexsort((doc, bucket))
-    bucket, doc, value = bucket[order], doc[order], value[order]
-    cut = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(doc) != 0)) + 1 if len(doc) else []
-    begins = np.concatenate(([0], cut)).astype(np.int64) if len(doc) else np.empty(0, np.int64)
-    ends = np.concatenate((begins[1:], [len(doc)])).astype(np.int64)[: len(begins)]
-    raw = value.tobytes()
+    """One row for each bucket, with its documents and hashes end to end."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, docs, values = bucket[order], doc[order].tobytes(), value[order].tobytes()
+    begins = np.flatnonzero(np.concatenate(([True], np.diff(bucket) != 0))) if len(bucket) else np.empty(0, np.int64)
+    cuts = [8 * int(x) for x in (*begins, len(bucket))]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(bucket[begins]),
-            pa.array(doc[begins]),
-            pa.array([raw[8 * a : 8 * b] for a, b in zip(begins, ends)], pa.binary()),
+            *(pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()) for raw in (docs, values)),
             pa.array(np.full(len(begins), settled)),
         ],
-        names=["bucket", "doc_id", "hashes", "settled"],
+        names=["bucket", "docs", "hashes", "settled"],
     )
 
 
-def _count(table: pa.Table) -> pa.Table:
-    """The hashes in a bucket that a smaller document has too, by document."""
-    table = table.combine_chunks()
-    settled = table.column("settled").to_numpy()
-    done = table.filter(pa.array(settled)).select(["doc_id", "hashes"])
-    open_rows = table.filter(pa.array(~settled))
-    parts = open_rows.column("hashes").to_pylist()
-    value = np.frombuffer(b"".join(parts), np.uint64)
-    doc = np.repeat(open_rows.column("doc_id").to_numpy(), [len(p) // 8 for p in parts])
-    order = np.lexsort((doc, value))
-    doc, value = doc[order], value[order]
-    new = np.ones(len(value), bool)
-    new[1:] = value[1:] != value[:-1]
-    least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
-    gone = doc > least
-    found = _packed(np.zeros(int(gone.sum()), np.int64), doc[gone], value[gone], True).select(["doc_id", "hashes"])
-    return pa.concat_tables([done, pa.Table.from_batches([found])])
+def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The documents and hashes of all rows."""
+    docs, values = (b"".join(table.column(c).to_pylist()) for c in ("docs", "hashes"))
+    return np.frombuffer(docs, np.int64), np.frombuffer(values, np.uint64)
+
+
+def _count(buckets: int):
+    def count(table: pa.Table) -> pa.Table:
+        """The hashes in a bucket that a smaller document has too, dealt anew by document."""
+        table = table.combine_chunks()
+        settled = table.column("settled").to_numpy()
+        doc, value = _joined(table.filter(pa.array(~settled)))
+        order = np.lexsort((doc, value))
+        doc, value = doc[order], value[order]
+        new = np.ones(len(value), bool)
+        new[1:] = value[1:] != value[:-1]
+        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
+        gone = doc > least
+        known_doc, known_value = _joined(table.filter(pa.array(settled)))
+        doc, value = np.concatenate((doc[gone], known_doc)), np.concatenate((value[gone], known_value))
+        by_doc = (mixed(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        return pa.Table.from_batches([_packed(by_doc, doc, value, True)]).drop_columns(["settled"])
+
+    return count
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """One row for each document, with all its removed hashes."""
+    doc, value = _joined(table)
+    found = _packed(doc, doc, value, True)
+    return pa.table({"id": found.column("bucket"), "hashes": found.column("hashes")})
 
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +167,7 @@ def _trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a, b in zip(edges[:-1], edges[1:]):
                 if b > a:
                     row = rows[a]
-                    known = np.frombuffer(b"".join(removed[row]), np.uint64)
+                    known = np.frombuffer(removed[row], np.uint64)
                     left, right = interval_union(places[a:b][np.isin(hashes[a:b], known)], WINDOW)
                     gone[row] = int((right - left).sum())
                     for x, y in zip(left[::-1].tolist(), right[::-1].tolist()):
@@ -182,6 +194,7 @@ def narrowed(docs: DataFrame, ids: DataFrame, rows: int, kind: str) -> DataFrame
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row: its words, how many of them are removed, and a digest of those kept."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     named = docs.where(F.col("doc_id").isNotNull())
     anchors = named.mapInArrow(_anchors, "doc_id long, anchor long")
@@ -199,11 +212,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         narrowed(named, suspects.select("id"), rows, "left_semi")
         .join(suspects, F.col("doc_id") == F.col("id"))
         .select("doc_id", "text", "anchors")
-        .mapInArrow(_claims(buckets), "bucket long, doc_id long, hashes binary, settled boolean")
+        .mapInArrow(_claims(buckets), "bucket long, docs binary, hashes binary, settled boolean")
     )
     removed = staged(
-        claims.groupBy("bucket").applyInArrow(_count, "doc_id long, hashes binary")
-        .groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("hashes").alias("hashes"))
+        claims.groupBy("bucket").applyInArrow(_count(buckets), "bucket long, docs binary, hashes binary")
+        .groupBy("bucket").applyInArrow(_by_document, "id long, hashes binary")
     )
     ids = removed.select("id")
     rows = removed.count()
