@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.staging import staged
+from headway.llm.staging import bounded_batches, staged
 
 REFERENCES = 5
 VOTES = 2
@@ -275,6 +275,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for every page."""
+    bounded_batches(pages.sparkSession)
     own = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),

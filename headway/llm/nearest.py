@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.staging import staged
+from headway.llm.staging import bounded_batches, staged
 
 NEIGHBOURS = 5
 EVERY = 50
@@ -172,6 +172,7 @@ def index_shard(table: pa.Table) -> pa.Table:
 
 def build_index(rows: DataFrame) -> DataFrame:
     """The written table of graphs, one row for each shard."""
+    bounded_batches(rows.sparkSession)
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     dealt = rows.select(
         "vec_id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")

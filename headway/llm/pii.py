@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.staging import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 TRAINING_DOCS = 5_000
 MAX_ATOMS = 24
@@ -267,6 +269,7 @@ def train(examples: list[tuple[str, list[Span]]]) -> Field | None:
 
 def fit(docs: DataFrame) -> Field | None:
     """A field trained on the zones of ``TRAINING_DOCS`` documents, chosen by a hash of their ids."""
+    bounded_batches(docs.sparkSession)
     ids = docs.select(F.col("doc_id").alias("chosen")).where("chosen is not null").distinct()
     ids = ids.orderBy(F.xxhash64("chosen"), "chosen").limit(TRAINING_DOCS)
 

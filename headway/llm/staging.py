@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_ROWS = 2000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
@@ -13,6 +15,11 @@ def shared_folder(spark: SparkSession) -> str:
     return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand Python workers a few MB at a time; the session keeps the setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
