@@ -9,10 +9,11 @@ a signature (a single rare shingle or a pair of frequent ones). Which shingles a
 frequent is counted over all documents' prefixes.
 
 Equal sets are one class from the start and are never compared. Signatures
-meet in a shuffle; in every bucket all members are compared with its smallest
-set, exactly. What is left apart after that is compared pair by pair, but only
-across the components found so far, so large groups of near copies cost one
-comparison a member and no link between different components is missed.
+meet in a shuffle; in every bucket all members are compared, exactly, with one set
+drawn for it, and in a few more rounds those still apart with other drawn ones.
+What is left is compared pair by pair, but only across the components found so
+far, so large groups of near copies cost a few comparisons a member and no link
+between different components is missed.
 
 Null or empty texts and texts without words have the empty set and no link.
 Rows that repeat a ``doc_id`` are one document each. A null ``doc_id`` takes part
@@ -42,6 +43,8 @@ CLASSES = np.uint64(8)
 #: Linked sets differ in size by a quarter at most, so they share one of the two ways.
 SINGLES_TO, PAIRS_FROM = 20, 16
 BROADCAST_IDS = 1_000_000
+#: Rounds of comparing with drawn leaders before what is left is compared pair by pair.
+TURNS = 2
 
 
 def shingle_sets(column: pa.Array, words: Words, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
@@ -240,6 +243,57 @@ def _fits(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def _placed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that still hold several components, with the bucket's largest as ``main``."""
+    placed = buckets.join(found, buckets["key"] == found["node"], "left").select(
+        "sig", "key", "size", F.coalesce("component", "key").alias("component")
+    )
+    per = placed.groupBy("sig", "component").agg(F.count("*").alias("n"))
+    several = per.groupBy("sig").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")
+    )
+    return staged(placed.join(several.where("k > 1").drop("k"), "sig"))
+
+
+def _led(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each bucket's members with two leaders drawn for this turn.
+
+    One leader is drawn from the largest component, for all outside it, and one
+    from those outside, for all of other components.
+    """
+    draw = F.struct(F.xxhash64("key", "sig", F.lit(turn)), "key", "size", "component")
+    inside = F.col("component") == F.col("main")
+    leaders = placed.groupBy(F.col("sig").alias("of")).agg(
+        F.min(F.when(inside, draw)).alias("inner"), F.min(F.when(~inside, draw)).alias("outer")
+    )
+    met = placed.join(leaders, F.col("sig") == F.col("of"))
+    chosen = [
+        met.select("key", "size", "component", "main", F.col(f"{side}.key").alias("leader"), F.col(f"{side}.size").alias("leader_size"), F.col(f"{side}.component").alias("leader_component"))
+        for side in ("inner", "outer")
+    ]
+    rows = chosen[0].union(chosen[1]).where(
+        (F.col("component") != F.col("main")) & (F.col("component") != F.col("leader_component")) & _fits("size", "leader_size")
+    )
+    return _ordered(rows, "key", "leader")
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """All pairs of different components in a bucket."""
+    outside = placed.where("component != main").select(
+        F.col("sig").alias("of"), F.col("key").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component")
+    )
+    met = outside.join(placed, F.col("of") == F.col("sig")).where(
+        (F.col("component") != F.col("x_component"))
+        & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("key")))
+        & _fits("size", "x_size")
+    )
+    return _ordered(met, "x", "key")
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id for every row."""
     bounded_batches(docs.sparkSession)
@@ -281,34 +335,25 @@ def similar_components(docs: DataFrame) -> DataFrame:
             )
 
     signed_rows = texts.mapInArrow(sign, "sig long, size int, key long")
+    by_draw = signed_rows.withColumn("draw", F.xxhash64("sig", "key"))
     buckets = staged(
-        signed_rows.repartition(F.col("sig")).sortWithinPartitions("sig", "size", "key")
+        by_draw.repartition(F.col("sig")).sortWithinPartitions("sig", "draw", "key").select("sig", "size", "key")
         .mapInArrow(_buckets, "sig long, key long, size long, first long, first_size long")
     )
     stars = buckets.where((F.col("key") != F.col("first")) & _fits("size", "first_size"))
-    links = linked(stars.select(F.col("first").alias("a"), F.col("key").alias("b")), classes, texts)
-
+    tested = staged(_ordered(stars, "first", "key").distinct())
+    links = linked(tested, classes, texts)
     found = components(links)
-    placed = buckets.join(found, buckets["key"] == found["node"], "left").select(
-        "sig", "key", "size", "first", F.coalesce("component", "key").alias("component")
-    )
-    # In a bucket of several components, all outside the largest are compared with every other component's.
-    per = placed.groupBy("sig", "component").agg(F.count("*").alias("n"))
-    mixed_buckets = per.groupBy("sig").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k"))
-    placed = staged(placed.join(mixed_buckets.where("k > 1"), "sig"))
-    outside = placed.where("component != main").select(
-        "sig", F.col("key").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component"), F.col("first").alias("x_first")
-    )
-    apart = outside.join(placed, "sig").where(
-        (F.col("component") != F.col("x_component"))
-        & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("key")))
-        & (F.col("x") != F.col("x_first"))
-        & (F.col("key") != F.col("first"))
-        & _fits("size", "x_size")
-    )
-    pairs = apart.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b"))
-    tested = stars.select(F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct()
-    more = linked(pairs.distinct().join(tested, ["a", "b"], "left_anti"), classes, texts)
+    for turn in range(1, TURNS + 1):
+        pairs = staged(_led(_placed(buckets, found), turn).distinct().join(tested, ["a", "b"], "left_anti"))
+        more = linked(pairs, classes, texts)
+        tested = tested.union(pairs)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(links)
+    rest = _apart(_placed(buckets, found)).distinct().join(tested, ["a", "b"], "left_anti")
+    more = linked(rest, classes, texts)
     if not more.isEmpty():
         found = components(links.union(more))
 
