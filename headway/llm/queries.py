@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html_extract, jaccard_join, nearest, packing, pii, sharding, substring_dedup, toxicity
+from headway.llm import decontaminate, html_extract, jaccard_join, nearest, packing, pii, sharding, substring_dedup, suffix_dedup, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -40,6 +40,10 @@ def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(table(spark, folder, "pages"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, folder, "documents"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"))
 
@@ -64,6 +68,7 @@ QUERIES = {
         op3_benchmark_decontamination,
         op4_sharding,
         op5_html_extraction,
+        op6_suffix_array_dedup,
         op7_nearest_neighbours,
         op8_pii,
         op9_jaccard_join,
