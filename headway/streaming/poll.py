@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,10 @@ from headway.schemas import LIVE_FIELDS
 from headway.sources.state import PollState
 
 POLL_INTERVAL = "1 minute"
+#: A cutoff stays this far behind the latest change seen, so that changes stamped in the
+#: same second and landed later are not lost; the last ones are sent again instead.
+OVERLAP = timedelta(seconds=1)
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -26,7 +30,7 @@ def read_records(spark: SparkSession, folder: str, max_files: int | None = None)
 
 
 def file_sink(folder: str) -> Sink:
-    """Messages as text files per poll and topic; a repeated poll replaces its own files."""
+    """Messages as Parquet files per poll and topic; a repeated poll replaces its own files."""
 
     def write(messages: DataFrame, epoch: int) -> None:
         out = messages.withColumn("key", F.coalesce("key", F.lit("")))
@@ -51,6 +55,18 @@ def kafka_sink(servers: str, topics: dict[str, str] | None = None, **options: st
     return write
 
 
+def moved_cutoffs(
+    earlier: dict[str, datetime], latest: dict[str, int | None], polled_at: datetime
+) -> dict[str, datetime]:
+    """Cutoffs of the endpoints that delivered dated records (``latest``: microseconds), never set back."""
+    out = {}
+    for endpoint, micros in latest.items():
+        if micros is not None:
+            reached = min(polled_at, EPOCH + timedelta(microseconds=micros) - OVERLAP)
+            out[endpoint] = max(reached, earlier.get(endpoint, reached))
+    return out
+
+
 def poll_batch(
     state: PollState,
     sink: Sink,
@@ -62,14 +78,19 @@ def poll_batch(
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body of one poll.
 
-    The cutoffs move only after the sink has the messages. If the sink fails,
-    the micro-batch is repeated with the cutoffs it had before.
+    An endpoint's cutoff follows the latest change it delivered, never the mere
+    time of a poll: without dated records it stays, and what lands late but is
+    stamped after it is still sent. Cutoffs move only after the sink has the
+    messages. If the sink fails, the micro-batch is repeated with the cutoffs it
+    had before.
     """
 
     def run(parsed: DataFrame, epoch: int) -> None:
         polled_at = clock()
-        cutoffs = {} if full_backfill else state.before(epoch)
+        earlier = state.before(epoch)
+        cutoffs = {} if full_backfill else earlier
         wanted = live.filter_routes(parsed, routes).withColumn("_news", live.is_news(cutoffs))
+        changed = F.unix_micros(live.changed_at())
         seen = Observation()
         counts = [
             metric
@@ -77,13 +98,16 @@ def poll_batch(
             for metric in (
                 F.count_if(F.col("endpoint") == endpoint).alias(f"{endpoint}_fetched"),
                 F.count_if((F.col("endpoint") == endpoint) & F.col("_news")).alias(f"{endpoint}_sent"),
+                F.max(F.when(F.col("endpoint") == endpoint, changed)).alias(f"{endpoint}_latest"),
             )
         ]
         news = wanted.observe(seen, *counts).where("_news").drop("_news")
         sink(live.envelope(live.flatten(news), polled_at, source), epoch)
-        state.save(epoch, dict.fromkeys(LIVE_FIELDS, polled_at))
+        counted = seen.get
+        latest = {endpoint: counted.pop(f"{endpoint}_latest") for endpoint in LIVE_FIELDS}
+        state.save(epoch, earlier | moved_cutoffs(earlier, latest, polled_at))
         if report:
-            report(epoch, seen.get)
+            report(epoch, counted)
 
     return run
 

@@ -44,12 +44,37 @@ def test_second_poll_sends_what_changed_since_the_first(spark, tmp_path):
     _poll(spark, root, NOON, report=lambda epoch, counts: reports.append((epoch, counts)))
     assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1")]
 
-    # The feed repeats v1 and adds v2; a new process continues from the checkpoint.
+    # The feed repeats v1 and adds v2; a new process continues from the checkpoint. v1 was the
+    # latest change seen, so it lies within the overlap and is sent once more.
     _land(root, "vehicles", "b", [_vehicle("v1", NOON - timedelta(hours=1)), _vehicle("v2", NOON + timedelta(hours=1))])
     _poll(spark, root, NOON + timedelta(hours=2), report=lambda epoch, counts: reports.append((epoch, counts)))
-    assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1"), (1, "vehicles", "v2")]
+    assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1"), (1, "vehicles", "v1"), (1, "vehicles", "v2")]
     assert [e for e, _ in reports] == [0, 1]
-    assert (reports[1][1]["vehicles_fetched"], reports[1][1]["vehicles_sent"]) == (2, 1)
+    assert (reports[1][1]["vehicles_fetched"], reports[1][1]["vehicles_sent"]) == (2, 2)
+
+    # v2 is the latest now; v1 lies before the cutoff and stays out.
+    _land(root, "vehicles", "c", [_vehicle("v1", NOON - timedelta(hours=1))])
+    _poll(spark, root, NOON + timedelta(hours=3))
+    assert [row for row in _sent(spark, root) if row[0] == 2] == []
+
+
+def test_silent_endpoint_keeps_its_cutoff(spark, tmp_path):
+    root = str(tmp_path)
+    _land(root, "vehicles", "a", [_vehicle("v1", NOON - timedelta(minutes=5))])
+    _poll(spark, root, NOON)
+    old_alert = {"id": "a1", "type": "alert", "attributes": {"updated_at": (NOON - timedelta(minutes=1)).isoformat()}}
+    _land(root, "alerts", "b", [old_alert])
+    _poll(spark, root, NOON + timedelta(minutes=1))
+    assert _sent(spark, root) == [(0, "vehicles", "v1"), (1, "alerts", "a1")]
+
+
+def test_record_stamped_before_a_poll_and_landed_after_it_is_sent(spark, tmp_path):
+    root = str(tmp_path)
+    _land(root, "vehicles", "a", [_vehicle("v1", NOON - timedelta(minutes=5))])
+    _poll(spark, root, NOON)
+    _land(root, "vehicles", "b", [_vehicle("v2", NOON - timedelta(seconds=1)), _vehicle("v3", NOON - timedelta(minutes=5))])
+    _poll(spark, root, NOON + timedelta(minutes=1))
+    assert _sent(spark, root) == [(0, "vehicles", "v1"), (1, "vehicles", "v2"), (1, "vehicles", "v3")]
 
 
 def test_failed_sink_moves_no_cutoff_and_the_poll_is_repeated(spark, tmp_path):
