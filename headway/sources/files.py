@@ -6,19 +6,20 @@ object stores. Only markers and pointers pass through here, never table data.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
 class Files:
     def __init__(self, spark: SparkSession, root: str):
+        self._gateway = spark.sparkContext._gateway
         self._hadoop = spark._jvm.org.apache.hadoop
         self._path = self._hadoop.fs.Path
         self.root = root.rstrip("/")
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(self._conf)
 
     def _at(self, name: str):
         return self._path(f"{self.root}/{name}" if name else self.root)
@@ -40,45 +41,52 @@ class Files:
         finally:
             stream.close()
 
-    def write(self, name: str, text: str, replace: bool = False) -> None:
-        """Write a whole small file, visible only when complete; fails if it exists unless ``replace``."""
-        draft = self._at(f"{name.rpartition('/')[0]}/_{uuid.uuid4().hex}".lstrip("/"))
-        stream = self._fs.create(draft, False)
+    def _fill(self, path, text: str) -> None:
+        stream = self._fs.create(path, False)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
-        if self.exists(name):
-            if not replace:
-                raise FileExistsError(f"{self.root}/{name}")
-            self.remove(name)
-        if not self._fs.rename(draft, self._at(name)):
-            raise FileExistsError(f"{self.root}/{name}")
+
+    def create(self, name: str, text: str) -> None:
+        """Write a small new file; of several writers of one name exactly one succeeds."""
+        try:
+            self._fill(self._at(name), text)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                raise FileExistsError(f"{self.root}/{name}") from e
+            raise
+
+    def write(self, name: str, text: str) -> None:
+        """Write a whole small file in place of an earlier one: readers find either, never none."""
+        draft = self._at(f"{name.rpartition('/')[0]}/_{uuid.uuid4().hex}".lstrip("/"))
+        self._fill(draft, text)
+        kind = getattr(self._hadoop.fs, "Options$Rename")
+        over = self._gateway.new_array(kind, 1)
+        over[0] = kind.OVERWRITE
+        context = self._hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        context.rename(self._fs.makeQualified(draft), self._fs.makeQualified(self._at(name)), over)
+
+    def remove_at_exit(self) -> None:
+        """Make the folder; it goes when the session's process ends."""
+        self._fs.mkdirs(self._at(""))
+        self._fs.deleteOnExit(self._at(""))
 
     def remove(self, name: str = "") -> None:
         self._fs.delete(self._at(name), True)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="headway-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor reaches: ``spark.checkpoint.dir``.
-
-    A local folder stands in only for a local master without that setting.
-    """
+    """A folder every executor reaches: ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging").rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/headway-{label}-{uuid.uuid4().hex}"
+    """A new shared folder, removed at the latest when the session's process ends."""
+    folder = f"{shared_folder(spark)}/headway-{label}-{uuid.uuid4().hex}"
+    Files(spark, folder).remove_at_exit()
+    return folder
 
 
 class Staging:

@@ -15,7 +15,7 @@ _FIELD = "last_ts"
 
 
 def save_batch_id(spark: SparkSession, landing: str, batch_id: str) -> None:
-    Files(spark, landing).write(_MARKER, json.dumps({_FIELD: batch_id}), replace=True)
+    Files(spark, landing).write(_MARKER, json.dumps({_FIELD: batch_id}))
 
 
 def load_batch_id(spark: SparkSession, landing: str) -> str:
@@ -49,6 +49,6 @@ class PollState:
 
     def save(self, epoch: int, cutoffs: dict[str, datetime]) -> None:
         body = {k: v.astimezone(timezone.utc).isoformat() for k, v in cutoffs.items()}
-        self._files.write(f"{epoch:010d}.json", json.dumps(body), replace=True)
+        self._files.write(f"{epoch:010d}.json", json.dumps(body))
         for old in sorted(e for e in self._epochs() if e < epoch)[:-1]:
             self._files.remove(f"{old:010d}.json")

@@ -58,6 +58,19 @@ def test_batch_filter_reaches_parquet(spark, tmp_path):
     assert "StringContains(source_file,20240101000000)" in _plan(in_batch(spark.read.parquet(path), "20240101000000"))
 
 
+def test_a_small_source_exchanges_only_matched_target_keys(spark, tmp_path):
+    from headway.operators.upsert import matched_keys
+
+    columns = ["CAST(id AS STRING) AS id", "'a' AS value", "current_timestamp() AS created_ts", "'h' AS scd_key"]
+    spark.range(100_000).selectExpr(*columns).write.parquet(f"{tmp_path}/target")
+    spark.range(50).selectExpr(*columns).write.parquet(f"{tmp_path}/source")
+    read = prepare(spark).read
+    plan = _plan(matched_keys(read.parquet(f"{tmp_path}/target"), read.parquet(f"{tmp_path}/source"), ["id"]))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all(s == "id:string,scd_key:string" for s in schemas)
+
+
 def test_live_text_is_parsed_once(spark):
     rows = spark.createDataFrame([("vehicles", "{}")], "endpoint string, record string")
     plan = _plan(live.poll_messages(live.parse(rows), {"vehicles": None}, "now"))
