@@ -54,6 +54,29 @@ def split_pages(pages: DataFrame, item_type: str, page: str = "page") -> DataFra
     )
 
 
+def landed_records(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Record texts (``record``) of landed lines, in place of the line.
+
+    A line is one record, or a page of a listing, whose ``data`` is a list of
+    records, a lone one or null. Text that is no JSON object stays a record, which
+    ``parse`` cannot read.
+    """
+    keys = F.json_object_keys(line)
+    is_page = keys.isNotNull() & ~F.arrays_overlap(keys, F.array(*[F.lit(k) for k in ("id", "type", "attributes")]))
+    data = F.get_json_object(line, "$.data")
+    items = (
+        F.when(~F.coalesce(is_page, F.lit(False)), F.array(line))
+        .when(data.startswith("["), F.from_json(data, "array<string>"))
+        .when(data.isNotNull(), F.array(data))
+    )
+    return lines.select(*[c for c in lines.columns if c != line], F.explode(items).alias("record"))
+
+
+def is_readable() -> Column:
+    """Whether a parsed record is one: it names its id."""
+    return F.col("id").isNotNull()
+
+
 def parse(records: DataFrame) -> DataFrame:
     """``record`` text as the record's columns; other columns pass through.
 
@@ -170,6 +193,6 @@ def poll_messages(
     routes: Sequence[str] = DEFAULT_ROUTES,
     source: str = DEFAULT_SOURCE,
 ) -> DataFrame:
-    """One poll as a projection over its records: no shuffle, no state of its own."""
-    wanted = filter_routes(parsed, routes).where(is_news(cutoffs))
+    """One poll as a projection over its readable records: no shuffle, no state of its own."""
+    wanted = filter_routes(parsed.where(is_readable()), routes).where(is_news(cutoffs))
     return envelope(flatten(wanted), polled_at, source)

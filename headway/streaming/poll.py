@@ -22,11 +22,11 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def read_records(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Landed live records, newline-delimited JSON in ``endpoint=<name>`` folders."""
-    reader = spark.readStream.schema(f"{live.RECORD_DDL}, endpoint string")
+    """Landed live records: lines of JSON, each a record or a page of them, in ``endpoint=<name>`` folders."""
+    reader = spark.readStream.schema("value string, endpoint string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(folder)
+    return live.parse(live.landed_records(reader.text(folder)))
 
 
 def file_sink(folder: str) -> Sink:
@@ -82,14 +82,20 @@ def poll_batch(
     time of a poll: without dated records it stays, and what lands late but is
     stamped after it is still sent. Cutoffs move only after the sink has the
     messages. If the sink fails, the micro-batch is repeated with the cutoffs it
-    had before.
+    had before. Records without an id (unreadable text) are counted as rejected,
+    not sent.
     """
 
     def run(parsed: DataFrame, epoch: int) -> None:
         polled_at = clock()
         earlier = state.before(epoch)
         cutoffs = {} if full_backfill else earlier
-        wanted = live.filter_routes(parsed, routes).withColumn("_news", live.is_news(cutoffs))
+        rejected = Observation()
+        unreadable = [
+            F.count_if((F.col("endpoint") == e) & ~live.is_readable()).alias(f"{e}_rejected") for e in LIVE_FIELDS
+        ]
+        readable = parsed.observe(rejected, *unreadable).where(live.is_readable())
+        wanted = live.filter_routes(readable, routes).withColumn("_news", live.is_news(cutoffs))
         changed = F.unix_micros(live.changed_at())
         seen = Observation()
         counts = [
@@ -107,7 +113,7 @@ def poll_batch(
         latest = {endpoint: counted.pop(f"{endpoint}_latest") for endpoint in LIVE_FIELDS}
         state.save(epoch, earlier | moved_cutoffs(earlier, latest, polled_at))
         if report:
-            report(epoch, counted)
+            report(epoch, counted | rejected.get)
 
     return run
 

@@ -58,6 +58,17 @@ def test_second_poll_sends_what_changed_since_the_first(spark, tmp_path):
     assert [row for row in _sent(spark, root) if row[0] == 2] == []
 
 
+def test_pages_are_split_and_unreadable_lines_are_counted_not_sent(spark, tmp_path):
+    root, reports = str(tmp_path), []
+    v = [_vehicle(f"v{n}", NOON) for n in range(5)]
+    lines = [{"data": v[:2], "links": {}}, {"data": v[2]}, {"data": None}, {"links": {}}, {"data": []}, v[3], {"data": [v[4], 7]}]
+    _land(root, "vehicles", "a", [*lines, [1], "text", {"type": "vehicle"}])
+    (tmp_path / "in" / "endpoint=vehicles" / "b.json").write_text('{"id": "v9", "attrib\n')
+    _poll(spark, root, NOON, report=lambda epoch, counts: reports.append(counts))
+    assert _sent(spark, root) == [(0, "vehicles", f"v{n}") for n in range(5)]
+    assert reports[0]["vehicles_rejected"] == 5 and reports[0]["vehicles_fetched"] == 5
+
+
 def test_silent_endpoint_keeps_its_cutoff(spark, tmp_path):
     root = str(tmp_path)
     _land(root, "vehicles", "a", [_vehicle("v1", NOON - timedelta(minutes=5))])

@@ -103,11 +103,14 @@ def stream_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Two polls of the whole feed: the second sends what changed since the first."""
+    """Two polls of the whole feed, as records and then as pages: the second sends what changed since the first."""
     root = fresh_folder(spark, "poll")
     state = PollState(spark, f"{root}/state")
     for polled_at in (X.CUTOFF, X.RUN_2):
-        X.live_records(spark, folder).write.mode("append").partitionBy("endpoint").text(f"{root}/in")
+        lines = X.live_records(spark, folder)
+        if polled_at == X.RUN_2:
+            lines = lines.withColumn("record", F.concat(F.lit('{"data":['), "record", F.lit("]}")))
+        lines.write.mode("append").partitionBy("endpoint").text(f"{root}/in")
         body = poll_batch(state, file_sink(f"{root}/out"), ROUTES, clock=lambda at=polled_at: at)
         start_poll(read_records(spark, f"{root}/in"), f"{root}/checkpoint", body, once=True).awaitTermination()
     sent = spark.read.schema("key string, value string, poll int, topic string").parquet(f"{root}/out")
