@@ -13,16 +13,13 @@ from pyspark.sql import DataFrame
 
 from headway.functions.batch_ids import window_start
 from headway.operators.shape import clean, flatten_documents, in_batch, stamp
-from headway.operators.trip_facts import fits_broadcast, narrow_to_groups, on_or_after, trip_facts, window_groups
+from headway.operators.trip_facts import narrow_to_groups, on_or_after, trip_facts, window_groups
 from headway.plans.layers import Lake
 from headway.schemas import ENTITIES, ROUTE_PATTERNS, ROUTES, SCHEDULES, TRIPS, Entity
 from headway.session import prepare
 from headway.sources.files import Staging
 from headway.sources.landing import read_batch
 
-# An incremental gold run broadcasts the groups of its window up to this size.
-WINDOW_BROADCAST_BYTES = 128 * 1024 * 1024
-
 
 def bronze_rows(documents: DataFrame, entity: Entity, batch_id: str, run_ts: datetime | None = None) -> DataFrame:
     """Landing documents of a batch as stamped bronze rows.
@@ -51,12 +48,11 @@ def gold_window(
 
     A fact's date is its earliest departure, so the window cannot filter the
     schedules directly. But only groups with some departure in the window can
-    start there; if those are few enough to broadcast, the rest of the history
-    is dropped before the aggregation instead of being shuffled through it.
+    start there: the rest of the history is dropped by a semi-join with those,
+    which are written first so that Spark picks the join by their measured size.
     """
     groups = staging.keep(window_groups(schedules, first_day))
-    if fits_broadcast(groups, WINDOW_BROADCAST_BYTES):
-        schedules, trips = narrow_to_groups(schedules, trips, groups)
+    schedules, trips = narrow_to_groups(schedules, trips, groups)
     facts = trip_facts(schedules, routes, trips, patterns)
     return stamp(facts.where(on_or_after(first_day)), run_ts)
 
@@ -84,7 +80,6 @@ def load_silver(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=No
     return table.upsert(silver_rows(latest, entity, run_ts), entity.silver_keys)
 
 
-
 def load_gold(lake: Lake, batch_id: str, full: bool, run_ts=None, audited: bool = False) -> None:
     """Full build, or replacement of every service date from the day before the batch.
 

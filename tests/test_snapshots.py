@@ -9,7 +9,6 @@ from decimal import Decimal
 import pytest
 
 from documents import call, land, pattern, route, stop, trip
-from headway.plans import snapshots
 from headway.plans.layers import Lake
 from headway.plans.snapshots import load_bronze, load_gold, load_silver, run
 from headway.schemas import ROUTE_PATTERNS, ROUTES, SCHEDULES, STOPS, TRIPS
@@ -174,11 +173,15 @@ def test_batch_on_the_first_of_a_month(spark, loaded, tmp_path):
     assert lake.trips_metrics.read().count() == 5
 
 
-def test_window_facts_do_not_depend_on_the_broadcast_limit(spark, merged, tmp_path, monkeypatch):
+def test_window_facts_do_not_depend_on_the_broadcast_limit(spark, merged, tmp_path):
     lake = _copy(spark, merged.root, tmp_path / "lake")
     narrowed = sorted(lake.trips_metrics.read().collect(), key=repr)
-    monkeypatch.setattr(snapshots, "WINDOW_BROADCAST_BYTES", -1)
-    assert load_gold(lake, B2, full=False, run_ts=T2) is None
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert load_gold(lake, B2, full=False, run_ts=T2) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert sorted(lake.trips_metrics.read().collect(), key=repr) == narrowed
 
 
