@@ -10,10 +10,16 @@ frequent is counted over all documents' prefixes.
 
 Equal sets are one class from the start and are never compared. Signatures
 meet in a shuffle; in every bucket all members are compared, exactly, with one set
-drawn for it, and in a few more rounds those still apart with other drawn ones.
-What is left is compared pair by pair, but only across the components found so
-far, so large groups of near copies cost a few comparisons a member and no link
-between different components is missed.
+drawn for it. What is then left is compared only across the components found so
+far: in small buckets pair by pair, in large ones by what tells the members apart.
+
+For the latter, members of large buckets with the same main component form a
+region. Its centre holds the shingles of more than half of its sets, and each set
+is turned into its difference from the centre. Linked sets differ by at most a
+ninth of their sizes' sum, so unless both are so near the centre that they must
+be linked, their differences share members: a prefix of each difference, rare
+shingles first, is indexed. Edits peculiar to one set are rare, so a large group
+whose sets are nearly but not quite alike yields few candidates, and none is lost.
 
 Null or empty texts and texts without words have the empty set and no link.
 Rows that repeat a ``doc_id`` are one document each. A null ``doc_id`` takes part
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.components import components
-from headway.llm.kernels import Words, mixed, rabin_karp, rows_of, signed, slices, utf8
+from headway.llm.kernels import Words, find, mixed, rabin_karp, rows_of, signed, slices, utf8
 from headway.llm.staging import bounded_batches, staged
 
 WIDTH = 5
@@ -43,8 +49,8 @@ CLASSES = np.uint64(8)
 #: Linked sets differ in size by a quarter at most, so they share one of the two ways.
 SINGLES_TO, PAIRS_FROM = 20, 16
 BROADCAST_IDS = 1_000_000
-#: Rounds of comparing with drawn leaders before what is left is compared pair by pair.
-TURNS = 2
+#: Buckets of more members are compared by their differences from a centre.
+PAIRWISE_MEMBERS = 32
 
 
 def shingle_sets(column: pa.Array, words: Words, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
@@ -213,6 +219,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(k[kept]) for k in keys], names=["a", "b"])
 
 
+def _texts(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``set_key`` and the text of one document that has the set."""
+    wanted = staged(keys.join(classes.select("set_key", "least"), "set_key"))
+    ids = wanted.select("set_key", F.col("least").alias("wanted_id"))
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return staged(
+        docs.join(ids, docs["doc_id"] == F.col("wanted_id")).groupBy("set_key").agg(F.first("text").alias("text"))
+    )
+
+
 def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``: set keys) that are similar enough, by their representatives' texts.
 
@@ -225,14 +242,7 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     sized = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
     sized = sized.select("a", "b", "a_size", "b_size", "a_bits", "b_bits")
     pairs = staged(sized.mapInArrow(_may_link, "a long, b long"))
-    wanted = staged(
-        pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
-        .join(classes.select("set_key", "least"), "set_key")
-    )
-    ids = wanted.select("set_key", F.col("least").alias("wanted_id"))
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = staged(docs.join(ids, docs["doc_id"] == F.col("wanted_id")).groupBy("set_key").agg(F.first("text").alias("text")))
+    texts = _texts(pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct(), classes, docs)
     left = texts.select(F.col("set_key").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("set_key").alias("b"), F.col("text").alias("b_text"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
@@ -248,39 +258,19 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _placed(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that still hold several components, with the bucket's largest as ``main``."""
+    """The members of buckets that still hold several components, with the bucket's largest as ``main`` and its ``members``."""
     placed = buckets.join(found, buckets["key"] == found["node"], "left").select(
         "sig", "key", "size", F.coalesce("component", "key").alias("component")
     )
     per = placed.groupBy("sig", "component").agg(F.count("*").alias("n"))
     several = per.groupBy("sig").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("k")
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.count("*").alias("k"),
+        F.sum("n").alias("members"),
     )
     return staged(placed.join(several.where("k > 1").drop("k"), "sig"))
 
 
-def _led(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each bucket's members with two leaders drawn for this turn.
-
-    One leader is drawn from the largest component, for all outside it, and one
-    from those outside, for all of other components.
-    """
-    draw = F.struct(F.xxhash64("key", "sig", F.lit(turn)), "key", "size", "component")
-    inside = F.col("component") == F.col("main")
-    leaders = placed.groupBy(F.col("sig").alias("of")).agg(
-        F.min(F.when(inside, draw)).alias("inner"), F.min(F.when(~inside, draw)).alias("outer")
-    )
-    met = placed.join(leaders, F.col("sig") == F.col("of"))
-    chosen = [
-        met.select("key", "size", "component", "main", F.col(f"{side}.key").alias("leader"), F.col(f"{side}.size").alias("leader_size"), F.col(f"{side}.component").alias("leader_component"))
-        for side in ("inner", "outer")
-    ]
-    rows = chosen[0].union(chosen[1]).where(
-        (F.col("component") != F.col("main")) & (F.col("component") != F.col("leader_component")) & _fits("size", "leader_size")
-    )
-    return _ordered(rows, "key", "leader")
-
-
 def _apart(placed: DataFrame) -> DataFrame:
     """All pairs of different components in a bucket."""
     outside = placed.where("component != main").select(
@@ -294,6 +284,107 @@ def _apart(placed: DataFrame) -> DataFrame:
     return _ordered(met, "x", "key")
 
 
+def _region_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of a batch's sets hold each shingle, by region."""
+    words = Words(lower=True)
+    for batch in batches:
+        region = batch.column(0).to_numpy()
+        found = [(region[row], members) for row, members in shingle_sets(batch.column(3), words)]
+        if not found:
+            continue
+        members = np.concatenate([m for _, m in found])
+        regions = np.repeat(np.array([r for r, _ in found], np.int64), [len(m) for _, m in found])
+        order = np.lexsort((members, regions))
+        members, regions = members[order], regions[order]
+        new = np.flatnonzero(
+            np.concatenate(([True], (members[1:] != members[:-1]) | (regions[1:] != regions[:-1])))
+        )
+        counts = np.diff(np.concatenate((new, [len(members)])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(regions[new]), pa.array(signed(members[new])), pa.array(counts)], names=["region", "shingle", "n"]
+        )
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per set its size and distance from the centre (``place`` -1), then the prefix of its difference.
+
+    A linked set is at most a quarter of this one's size away, so both differences
+    share all but so many of this one's members: the prefix is that long and one more.
+    """
+    words = Words(lower=True)
+    names = ["region", "shingle", "key", "component", "size", "distance", "place"]
+    for batch in batches:
+        region, key, component = (batch.column(i).to_numpy() for i in range(3))
+        rows: list[list[np.ndarray]] = []
+        for row, members in shingle_sets(batch.column(3), words):
+            held, counts = (np.array(batch.column(i)[row].as_py() or [], np.int64) for i in (4, 5))
+            sets = batch.column(6)[row].as_py()
+            central = 2 * counts > sets
+            apart = signed(np.setxor1d(members, held[central].view(np.uint64), assume_unique=True))
+            order = np.argsort(held)
+            held, often = held[order], np.where(central, sets - counts, counts)[order]
+            place, known = find(held, apart)
+            seen = np.where(known, often[place], 0) if len(held) else np.zeros(len(apart), np.int64)
+            apart = apart[np.lexsort((apart, seen))]
+            size, distance = len(members), len(apart)
+            apart = apart[: distance - max(1, distance - size // 4) + 1]
+            n = len(apart) + 1
+            rows.append(
+                [np.full(n, region[row]), np.append(0, apart), np.full(n, key[row]), np.full(n, component[row])]
+                + [np.full(n, size), np.full(n, distance), np.arange(-1, n - 1)]
+            )
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(column).astype(np.int64)) for column in zip(*rows)], names=names
+            )
+
+
+def _regions(placed: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links that follow from nearness to the centre, and candidate pairs of different components, for large buckets."""
+    members = staged(placed.select(F.col("main").alias("region"), "key", "component").distinct())
+    texts = _texts(members.select(F.col("key").alias("set_key")).distinct(), classes, docs)
+    sets = staged(members.join(texts, F.col("key") == F.col("set_key")).select("region", "key", "component", "text"))
+    counts = sets.mapInArrow(_region_counts, "region long, shingle long, n long").groupBy("region", "shingle").agg(F.sum("n").alias("n"))
+    per = members.groupBy("region").agg(F.count("*").alias("sets"))
+    # shingles of a quarter of a region's sets: at most four times as many as a set has on average
+    common = staged(
+        counts.join(per, "region").where("4 * n >= sets").groupBy("region")
+        .agg(F.collect_list(F.struct("shingle", "n")).alias("held"))
+        .select(F.col("region").alias("of"), F.col("held.shingle").alias("shingles"), F.col("held.n").alias("counts"))
+    )
+    centred = sets.join(per, "region").join(common, F.col("region") == F.col("of"), "left").select(
+        "region", "key", "component", "text", "shingles", "counts", "sets"
+    )
+    rows = staged(
+        centred.mapInArrow(
+            _differences, "region long, shingle long, key long, component long, size long, distance long, place long"
+        ).withColumn("reach", F.expr("9 * distance - size"))
+    )
+    # two sets whose reaches sum to 0 or less are linked, and then both are with the set of least reach
+    heads = rows.where("place = -1")
+    nearest = heads.groupBy(F.col("region").alias("of")).agg(F.min(F.struct("reach", "key")).alias("best"))
+    sure = heads.join(nearest, (F.col("region") == F.col("of")) & (F.col("reach") + F.col("best.reach") <= 0)).where(
+        "key != best.key"
+    )
+    # others share at least (sum of reaches) / 18 members of their differences
+    x, y = (
+        rows.where("place >= 0").select([F.col(c).alias(f"{side}_{c}") for c in rows.columns]) for side in ("x", "y")
+    )
+    shared = F.ceil((F.col("x_reach") + F.col("y_reach")) / 18)
+    met = x.join(
+        y,
+        (F.col("x_region") == F.col("y_region"))
+        & (F.col("x_shingle") == F.col("y_shingle"))
+        & (F.col("x_key") < F.col("y_key"))
+        & (F.col("x_component") != F.col("y_component"))
+        & _fits("x_size", "y_size")
+        & (F.col("x_reach") + F.col("y_reach") > 0)
+        & (F.col("x_place") <= F.col("x_distance") - shared)
+        & (F.col("y_place") <= F.col("y_distance") - shared),
+    )
+    return staged(_ordered(sure.select("key", F.col("best.key").alias("other")), "key", "other")), _ordered(met, "x_key", "y_key")
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id for every row."""
     bounded_batches(docs.sparkSession)
@@ -344,18 +435,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
     tested = staged(_ordered(stars, "first", "key").distinct())
     links = linked(tested, classes, texts)
     found = components(links)
-    for turn in range(1, TURNS + 1):
-        pairs = staged(_led(_placed(buckets, found), turn).distinct().join(tested, ["a", "b"], "left_anti"))
-        more = linked(pairs, classes, texts)
-        tested = tested.union(pairs)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        found = components(links)
-    rest = _apart(_placed(buckets, found)).distinct().join(tested, ["a", "b"], "left_anti")
-    more = linked(rest, classes, texts)
-    if not more.isEmpty():
-        found = components(links.union(more))
+    placed = _placed(buckets, found)
+    sure, across = _regions(placed.where(F.col("members") > PAIRWISE_MEMBERS), classes, texts)
+    rest = _apart(placed.where(F.col("members") <= PAIRWISE_MEMBERS)).union(across)
+    more = linked(rest.distinct().join(tested, ["a", "b"], "left_anti"), classes, texts)
+    found = components(links.union(sure).union(more))
 
     joined = classes.join(found, classes["set_key"] == found["node"], "left").select(
         "set_key", "least", F.coalesce("component", "set_key").alias("component")

@@ -134,6 +134,14 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value stands in sorted ``keys``, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return place, keys[place] == wanted
+
+
 def within(per_row: np.ndarray) -> np.ndarray:
     """0, 1, 2, .. inside each row, for row sizes ``per_row``."""
     ends = np.cumsum(per_row)

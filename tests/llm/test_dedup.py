@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import numpy as np
 import pytest
 
 from headway.llm import jaccard_join, substring_dedup, suffix_dedup, suffix_sort
-from tests.llm.samples import SCHEMA, corpus
+from tests.llm.samples import SCHEMA, corpus, prose
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -107,6 +108,53 @@ def test_components_of_similar_documents(spark, docs, monkeypatch, frequent_from
     assert kept == sorted(d for d, (n, c) in expected.items() if n == 0 or c == d)
 
 
+def edited_groups():
+    """Documents with ever more edits of three bases, many of them just too far apart to link."""
+    draw, rows = random.Random(11), []
+    for base in (prose(200, 150), prose(201, 60), prose(202, 90) + " " + prose(203, 40)):
+        for k in range(70):
+            words = base.split()
+            for place in draw.sample(range(len(words)), k % 8 * len(words) // 150 + k % 3):
+                words[place] = draw.choice(("same", f"own{draw.randrange(10**6)}"))
+            if k % 9 == 0:
+                words += prose(203, 40).split()[: k % 20]
+            rows.append((len(rows), " ".join(words), "en", "src", 0))
+    draw.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("pairwise", [2, 12, 10_000])
+def test_groups_of_sets_nearly_alike(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(jaccard_join, "PAIRWISE_MEMBERS", pairwise)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_FROM", 8)
+    rows = edited_groups()
+    expected = brute_components(rows)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert {r[0]: tuple(r[1:]) for r in jaccard_join.similar_components(docs).collect()} == expected
+    assert 10 < len({c for _, c in expected.values()}) < len(rows) - 60
+
+
+def test_every_link_of_a_region_is_sure_or_a_candidate(spark):
+    rows = edited_groups()
+    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text")
+    sets = docs.mapInArrow(jaccard_join._sets, "doc_id long, n_shingles long, set_key long, bits binary").toPandas()
+    own = {d: shingles(t) for d, t, *_ in rows}
+    key = dict(zip(sets["doc_id"], sets["set_key"].tolist()))
+    doc = {k: d for d, k in key.items()}
+    classes = spark.createDataFrame(list(doc.items()), "set_key long, least long")
+    placed = classes.selectExpr("1L as main", "set_key as key", "set_key as component")
+    sure, across = jaccard_join._regions(placed, classes, docs)
+    sure, across = ({tuple(r) for r in df.collect()} for df in (sure, across))
+    links = {
+        (a, b) for a in doc for b in doc if a < b
+        and 100 * len(own[doc[a]] & own[doc[b]]) >= 80 * len(own[doc[a]] | own[doc[b]])
+    }
+    assert sure <= links
+    near = {x for pair in sure for x in pair}
+    assert all(pair in across or set(pair) <= near for pair in links)
+    assert len(across) < len(doc) ** 2 / 8
+
+
 def test_signatures_are_shared_by_linked_sets():
     draw = np.random.default_rng(5)
     for size in (5, 12, 16, 18, 20, 23, 40, 150):
