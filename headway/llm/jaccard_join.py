@@ -14,8 +14,9 @@ drawn for it. What is then left is compared only across the components found so
 far: in small buckets pair by pair, in large ones by what tells the members apart.
 
 For the latter, members of large buckets with the same main component form a
-region. Its centre holds the shingles of more than half of its sets, and each set
-is turned into its difference from the centre. Linked sets differ by at most a
+region. Its centre holds the shingles of more than half of some sets drawn from it
+(which, only changes how many candidates there are), and each set of the region is
+turned into its difference from the centre. Linked sets differ by at most a
 ninth of their sizes' sum, so unless both are so near the centre that they must
 be linked, their differences share members: a prefix of each difference, rare
 shingles first, is indexed. Edits peculiar to one set are rare, so a large group
@@ -50,7 +51,9 @@ CLASSES = np.uint64(8)
 SINGLES_TO, PAIRS_FROM = 20, 16
 BROADCAST_IDS = 1_000_000
 #: Buckets of more members are compared by their differences from a centre.
-PAIRWISE_MEMBERS = 32
+PAIRWISE_MEMBERS = 64
+#: A region's centre is taken from about so many drawn sets; any centre gives the same links.
+CENTRE_SETS = 64
 
 
 def shingle_sets(column: pa.Array, words: Words, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
@@ -344,16 +347,21 @@ def _regions(placed: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[Da
     members = staged(placed.select(F.col("main").alias("region"), "key", "component").distinct())
     texts = _texts(members.select(F.col("key").alias("set_key")).distinct(), classes, docs)
     sets = staged(members.join(texts, F.col("key") == F.col("set_key")).select("region", "key", "component", "text"))
-    counts = sets.mapInArrow(_region_counts, "region long, shingle long, n long").groupBy("region", "shingle").agg(F.sum("n").alias("n"))
     per = members.groupBy("region").agg(F.count("*").alias("sets"))
-    # shingles of a quarter of a region's sets: at most four times as many as a set has on average
+    drawn = sets.join(per, "region").where(
+        F.pmod(F.xxhash64("region", "key"), F.ceil(F.col("sets") / CENTRE_SETS)) == 0
+    )
+    drawn = staged(drawn.select("region", "key", "component", "text"))
+    counts = drawn.mapInArrow(_region_counts, "region long, shingle long, n long").groupBy("region", "shingle").agg(F.sum("n").alias("n"))
+    per = drawn.groupBy("region").agg(F.count("*").alias("sets"))
+    # shingles of a quarter of the drawn sets: at most four times as many as a set has on average
     common = staged(
-        counts.join(per, "region").where("4 * n >= sets").groupBy("region")
+        counts.join(per, "region").where("4 * n >= sets").groupBy("region", "sets")
         .agg(F.collect_list(F.struct("shingle", "n")).alias("held"))
-        .select(F.col("region").alias("of"), F.col("held.shingle").alias("shingles"), F.col("held.n").alias("counts"))
+        .select(F.col("region").alias("of"), "sets", F.col("held.shingle").alias("shingles"), F.col("held.n").alias("counts"))
     )
-    centred = sets.join(per, "region").join(common, F.col("region") == F.col("of"), "left").select(
-        "region", "key", "component", "text", "shingles", "counts", "sets"
+    centred = sets.join(common, F.col("region") == F.col("of"), "left").select(
+        "region", "key", "component", "text", "shingles", "counts", F.coalesce("sets", F.lit(0)).alias("sets")
     )
     rows = staged(
         centred.mapInArrow(
