@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.staging import row_key
+
 WIDTH = 5
 PERCENT = 80
 BROADCAST_ROWS = 1_000_000
@@ -107,9 +109,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; rows and columns else unchanged."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("leaked_id")), "left_anti")
+    """``docs`` without the rows that hold a benchmark item; rows and columns else unchanged.
+
+    The verdict is a row's own, whatever other rows have its id, or a null one.
+    """
+    keyed = docs.select(row_key().alias("doc_id"), F.col("text").alias("text"))
+    bad = contaminated(keyed, benchmark).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(bad, row_key() == F.col("leaked"), "left_anti")
 
 
 ORACLE_SQL = r"""

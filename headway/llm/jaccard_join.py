@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.components import components
 from headway.llm.kernels import Words, find, mixed, rabin_karp, rows_of, signed, slices, utf8
-from headway.llm.staging import bounded_batches, staged
+from headway.llm.staging import bounded_batches, row_key, staged
 
 WIDTH = 5
 PERCENT = 80
@@ -141,8 +141,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, members in shingle_sets(batch.column(1), words):
             size[row], key[row], bits[row] = len(members), set_key(members), bitmap(members)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size), pa.array(key), pa.array(bits, pa.binary())],
-            names=["doc_id", "n_shingles", "set_key", "bits"],
+            [batch.column(0), pa.array(size), pa.array(key), pa.array(bits, pa.binary()), *batch.columns[2:]],
+            names=["doc_id", "n_shingles", "set_key", "bits", *batch.schema.names[2:]],
         )
 
 
@@ -395,15 +395,21 @@ def _regions(placed: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[Da
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id for every row."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    return _row_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _row_components(docs: DataFrame) -> DataFrame:
+    """For every row of doc_id and text n_shingles, component, component_id and its further columns."""
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    sets = staged(docs.mapInArrow(_sets, "doc_id long, n_shingles long, set_key long, bits binary"))
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[2:])
+    sets = staged(docs.mapInArrow(_sets, f"doc_id long, n_shingles long, set_key long, bits binary{more}"))
     known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     classes = staged(
         sets.where(known).groupBy("set_key", "n_shingles", "bits").agg(F.min("doc_id").alias("least"))
     )
-    texts = docs.where(F.col("doc_id").isNotNull())
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
 
     counted = (
         texts.mapInArrow(_prefixes, "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -454,19 +460,23 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     named = joined.join(
         joined.groupBy("component").agg(F.min("least").alias("component_id")), "component"
-    ).select(F.col("set_key").alias("of"), "component_id")
+    ).select(F.col("set_key").alias("of"), "component", "component_id")
     own = sets.join(named, known & (F.col("set_key") == F.col("of")), "left")
-    return own.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return own.select(
+        "doc_id", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"), *docs.columns[2:]
+    )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component: that of the least ``doc_id``; rows without words or id all stay."""
-    found = staged(similar_components(docs))
-    stays = found.where("n_shingles = 0 or doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    kept = docs.join(stays, docs["doc_id"].eqNullSafe(F.col("stays"))).drop("stays")
-    again = found.where("n_shingles > 0").groupBy("doc_id").count().where("doc_id is not null and count > 1")
+    """One row of each component: one with its least ``doc_id``; rows without words or id all stay."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), row_key().alias("row_key"))
+    found = staged(_row_components(texts))
+    firm = found.where("n_shingles = 0 or doc_id is null").select("row_key").distinct()
+    alike = found.where("n_shingles > 0 and doc_id = component_id").groupBy("component", "row_key").agg(F.count("*").alias("n"))
+    first = alike.groupBy("component").agg(F.min(F.struct("row_key", "n")).alias("first")).select("first.row_key", "first.n")
+    kept = docs.join(firm.union(first.select("row_key")).withColumnRenamed("row_key", "stays"), row_key() == F.col("stays")).drop("stays")
+    again = first.where("n > 1").select(F.col("row_key").alias("again"))
     if again.isEmpty():
         return kept
-    twice = again.select(F.col("doc_id").alias("again"))
-    single = kept.join(twice, kept["doc_id"] == F.col("again"), "left_anti")
-    return single.union(kept.join(twice, kept["doc_id"] == F.col("again"), "left_semi").dropDuplicates(["doc_id"]))
+    single = kept.join(again, row_key() == F.col("again"), "left_anti")
+    return single.union(kept.join(again, row_key() == F.col("again"), "left_semi").dropDuplicates(["doc_id", "text"]))

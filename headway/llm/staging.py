@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ARROW_ROWS = 2000
 
@@ -20,6 +21,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def row_key() -> Column:
+    """Tells rows of doc_id and text apart, a null or repeated id included; rows alike in both share it."""
+    return F.struct(
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.col("text")).alias("b")
+    )
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
