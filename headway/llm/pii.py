@@ -1,15 +1,17 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds to them.
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers.
-The field looks at the zones around digits and at signs: a zone is cut into atoms
+The field looks at the zones around digits, at signs and spelled addresses (``name at
+host dot com``, ``name [at] host``): a zone is cut into atoms
 (runs of digits, runs of letters, single other characters), every run of up to
 ``MAX_ATOMS`` atoms is a candidate segment, and whole-segment features (digits and
 their groups, separators, check sums, what stands before and after) are scored for
 every type. Dynamic programming chooses boundaries and types together. Segments
 that touch what the patterns found are not candidates, so pattern spans stay.
 
-The field is trained here, on zones from at most ``TRAINING_DOCS`` documents. The
-patterns' own matches are the labels; each is also shown in the forms the patterns
+The field is trained here, on at most ``TRAINING_ZONES`` zones of at most ``ZONE_CHARS``
+characters from at most ``TRAINING_DOCS`` documents; zones with spelled addresses
+are left out, as nothing labels them. The patterns' own matches are the labels; each is also shown in the forms the patterns
 do not know (no plus sign, words for the signs of an address), and numbers that the
 patterns refuse are examples of none. Without any match nothing is added.
 
@@ -32,6 +34,8 @@ from headway.llm.staging import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TRAINING_DOCS = 5_000
+TRAINING_ZONES = TRAINING_DOCS // 10
+ZONE_CHARS = 400
 MAX_ATOMS = 24
 NEAR, MARGIN = 12, 32
 EPOCHS, STEP, DAMPING = 40, 0.5, 0.01
@@ -45,6 +49,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _TRIGGER = re.compile("[0-9@]+")
+#: What joins name and host in a spelled address, and the host after it; a bare word needs spelled dots as well.
+_AT = (" at ", "[at]", "(at)")
+_LABEL = r"[A-Za-z0-9-]++"
+_SPELLED_HOST = re.compile(rf"{_LABEL}(?: dot {_LABEL})+")
+_BRACKET_HOST = re.compile(rf"\x20?{_LABEL}(?:(?:\.| dot |\x20?[\[(]dot[\])]\x20?){_LABEL})+")
+_MORE_HOST = re.compile(r"(?:\.| dot |\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]")
 _ATOM = re.compile("[0-9]+|[^\\W\\d_]+|.", re.S)
 
 Span = tuple[int, int, str]
@@ -87,16 +97,36 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def spelled(text: str) -> list[tuple[int, int]]:
+    """Where a name, a word or bracket for the at sign and a host stand; the host's dots can be words too."""
+    found = []
+    for sign in _AT:
+        at = text.find(sign)
+        while at >= 0:
+            host = (_SPELLED_HOST if sign == " at " else _BRACKET_HOST).match(text, at + 4)
+            if host:
+                end = start = at - (sign != " at " and text[at - 1 : at] == " ")
+                while start > 0 and text[start - 1] in _LOCAL:
+                    start -= 1
+                if start < end:
+                    found.append((start, host.end()))
+            at = text.find(sign, host.end() if host else at + 1)
+    return found
+
+
 def zones(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches around digits and at signs; triggers close to each other share one."""
+    """Stretches around digits, at signs and spelled addresses; triggers close to each other share one."""
     first = last = -1
-    for m in _TRIGGER.finditer(text):
-        if first >= 0 and m.start() - last > NEAR:
+    triggers = [m.span() for m in _TRIGGER.finditer(text)]
+    if words := spelled(text):
+        triggers = sorted(triggers + words)
+    for start, end in triggers:
+        if first >= 0 and start - last > NEAR:
             yield max(0, first - MARGIN), min(len(text), last + MARGIN)
-            first = m.start()
+            first = start
         elif first < 0:
-            first = m.start()
-        last = m.end()
+            first = start
+        last = max(last, end)
     if first >= 0:
         yield max(0, first - MARGIN), min(len(text), last + MARGIN)
 
@@ -138,6 +168,7 @@ def features(zone: str, start: int, end: int) -> list[str]:
         f"more{before in tuple('+-./') or (after in tuple('-/') and after != '')}",
         f"spaces{min(segment.count(' '), 4)}",
         f"blank{'  ' in segment or chr(10) in segment}",
+        f"spelled{spelled(segment) == [(0, len(segment))] and not (before and before in _LOCAL) and not _MORE_HOST.match(zone, end)}",
     ]
 
 
@@ -280,7 +311,7 @@ def fit(docs: DataFrame) -> Field | None:
                 base = base_spans(text or "")
                 for low, high in zones(text or ""):
                     inside = [(a - low, b - low, k) for a, b, k in base if low <= a and b <= high]
-                    if high - low <= 400 and not any(x[0] < y[1] and y[0] < x[1] for x in inside for y in inside if x != y):
+                    if high - low <= ZONE_CHARS and not spelled(text[low:high]) and not any(x[0] < y[1] and y[0] < x[1] for x in inside for y in inside if x != y):
                         kept.append(text[low:high])
                         begun.append([a for a, _, _ in inside])
                         ended.append([b for _, b, _ in inside])
@@ -297,7 +328,7 @@ def fit(docs: DataFrame) -> Field | None:
 
     chosen = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen")).select("text")
     found = chosen.mapInArrow(examples, "zone string, begun array<long>, ended array<long>, kinds array<string>")
-    found = found.distinct().orderBy(F.xxhash64("zone"), "zone").limit(TRAINING_DOCS // 10)
+    found = found.distinct().orderBy(F.xxhash64("zone"), "zone").limit(TRAINING_ZONES)
     return train([(r.zone, list(zip(r.begun, r.ended, r.kinds))) for r in found.collect()])
 
 
