@@ -49,14 +49,21 @@ class ByteBpe(dict):
     """Token ids, as little-endian 32-bit bytes, of a vocabulary file of the ``tokenizers`` library.
 
     A dictionary from split word to the bytes of its ids, filled as words come
-    and emptied when full. Special tokens in a text are ordinary text.
+    and emptied when full. ``ids`` takes added tokens in a text as ordinary text,
+    ``document_ids`` gives them their own ids, as the library does by default.
     """
 
     def __init__(self, path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        vocabulary, added = content["model"]["vocab"], content.get("added_tokens", [])
+        if any(token[option] for token in added for option in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens with options are not supported")
+        self.added = {token["content"]: array("I", [token["id"]]).tobytes() for token in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})" if added else r"(?!)")
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank
@@ -78,6 +85,12 @@ class ByteBpe(dict):
             return array("I", self.encoding.encode_ordinary(text)).tobytes()
         return b"".join(map(self.__getitem__, PLAIN_SPLIT.findall(text)))
 
+    def document_ids(self, text: str) -> bytes:
+        """The ids of a document's text; added tokens cut it, and each part is split by itself."""
+        if not self.at_added.search(text):
+            return self.ids(text)
+        return b"".join(self.added.get(part) or self.ids(part) for part in self.at_added.split(text) if part)
+
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """Each document's ids and the closing id 0, cut where longer than ``capacity``.
@@ -90,7 +103,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
-                ids = bpe.ids(text.as_py() or "") + b"\0\0\0\0"
+                ids = bpe.document_ids(text.as_py() or "") + b"\0\0\0\0"
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 for k, (a, b) in enumerate(zip([0, *range(first, n, capacity)], range(first, n + 1, capacity))):
