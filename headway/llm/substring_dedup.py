@@ -8,8 +8,9 @@ itself in no other. The hashes of all other windows are then counted: they go to
 buckets, which find the least document of each hash. Windows whose hash has a
 smaller document are removed, overlapping ones as one interval.
 
-A window that many documents hold is counted once for each batch of documents
-before it travels. Words are runs of non-space bytes. Null and empty texts have
+Of a window that many documents of a batch hold, only the batch's least document
+goes to the hash's bucket; the others are settled and go straight to a bucket of
+their own document. Words are runs of non-space bytes. Null and empty texts have
 no words. A null ``doc_id`` is compared with nothing. Rows that repeat a
 ``doc_id`` are one document's: they do not remove each other's words.
 """
@@ -75,7 +76,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _claims(buckets: int):
     def claim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hashes of windows with shared anchors, by bucket; those a smaller document of the batch has are settled."""
+        """Hashes of windows with shared anchors, by bucket; those a smaller document of the batch has are settled.
+
+        Settled ones are dealt by document, the others by hash.
+        """
         for batch in batches:
             ids = batch.column(0).to_numpy()
             shared = [np.sort(np.array(a, np.int64).view(np.uint64)) for a in batch.column(2).to_pylist()]
@@ -95,13 +99,17 @@ def _claims(buckets: int):
             new = np.ones(len(value), bool)
             new[1:] = value[1:] != value[:-1]
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
-            bucket = (value % np.uint64(buckets)).astype(np.int64)
-            for settled, own in ((False, new), (True, doc > least)):
+            by_hash = (value % np.uint64(buckets)).astype(np.int64)
+            for settled, own, bucket in ((False, new, by_hash), (True, doc > least, _by_id(doc, buckets))):
                 yield _packed(bucket[own], doc[own], value[own], settled)
 
     return claim
 
 
+def _by_id(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _packed(bucket: np.ndarray, doc: np.ndarray, value: np.ndarray, settled: bool) -> pa.RecordBatch:
     """One row for each bucket, with its documents and hashes end to end."""
     order = np.argsort(bucket, kind="stable")
@@ -127,19 +135,15 @@ def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def _count(buckets: int):
     def count(table: pa.Table) -> pa.Table:
         """The hashes in a bucket that a smaller document has too, dealt anew by document."""
-        table = table.combine_chunks()
-        settled = table.column("settled").to_numpy()
-        doc, value = _joined(table.filter(pa.array(~settled)))
+        doc, value = _joined(table)
         order = np.lexsort((doc, value))
         doc, value = doc[order], value[order]
         new = np.ones(len(value), bool)
         new[1:] = value[1:] != value[:-1]
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
         gone = doc > least
-        known_doc, known_value = _joined(table.filter(pa.array(settled)))
-        doc, value = np.concatenate((doc[gone], known_doc)), np.concatenate((value[gone], known_value))
-        by_doc = (mixed(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        return pa.Table.from_batches([_packed(by_doc, doc, value, True)]).drop_columns(["settled"])
+        doc, value = doc[gone], value[gone]
+        return pa.Table.from_batches([_packed(_by_id(doc, buckets), doc, value, True)]).drop_columns(["settled"])
 
     return count
 
@@ -208,15 +212,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     rows, runs = suspects.agg(F.count("*"), F.sum(F.size("anchors"))).first()
     buckets = max(1, -(-(runs or 0) * (WINDOW - ANCHOR + 1) // BUCKET_WINDOWS))
-    claims = (
+    claims = staged(
         narrowed(named, suspects.select("id"), rows, "left_semi")
         .join(suspects, F.col("doc_id") == F.col("id"))
         .select("doc_id", "text", "anchors")
         .mapInArrow(_claims(buckets), "bucket long, docs binary, hashes binary, settled boolean")
     )
+    packed = ["bucket", "docs", "hashes"]
     removed = staged(
-        claims.groupBy("bucket").applyInArrow(_count(buckets), "bucket long, docs binary, hashes binary")
-        .groupBy("bucket").applyInArrow(_by_document, "id long, hashes binary")
+        claims.where("not settled").select(packed).groupBy("bucket")
+        .applyInArrow(_count(buckets), "bucket long, docs binary, hashes binary")
+        .union(claims.where("settled").select(packed)).groupBy("bucket").applyInArrow(_by_document, "id long, hashes binary")
     )
     ids = removed.select("id")
     rows = removed.count()
