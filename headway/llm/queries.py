@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, html_extract, jaccard_join, nearest, packing, pii, sharding, substring_dedup, suffix_dedup, toxicity
+from headway.llm import (
+    decontaminate,
+    divergence,
+    fill_in_middle,
+    html_extract,
+    jaccard_join,
+    language_id,
+    nearest,
+    packing,
+    pii,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -60,6 +74,18 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary_path())
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(table(spark, folder, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, folder, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +99,13 @@ QUERIES = {
         op8_pii,
         op9_jaccard_join,
         op10_best_fit_packing,
+        op11_source_divergence,
+        op12_language_id,
+        op13_fill_in_middle,
     )
 }
-ORACLE_SQL = {"op3_benchmark_decontamination": decontaminate.ORACLE_SQL}
+ORACLE_SQL = {
+    "op3_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
+    "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
+}

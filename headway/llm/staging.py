@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARROW_ROWS = 2000
+ARROW_BYTES = "8m"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,6 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
 def bounded_batches(spark: SparkSession) -> None:
     """Hand Python workers a few MB at a time; the session keeps the setting."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def row_key() -> Column:

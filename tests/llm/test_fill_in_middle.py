@@ -1,0 +1,62 @@
+"""Fill-in-middle against a plain version over code points, and its exact round trip."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from headway.llm import fill_in_middle as M
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+TEXTS = [
+    None, "", " ", "\t\n ", "one", " lead", "trail \n", "a b", "é", "日本 語", "naïve café — 𝒳𝓎  end ", "has <P> mark",
+    "has <S>", "x <M>", "< P>", "<<S", "a<", "word joined words", "ab " * 3000, "é𝒳 " * 2000, "same text", "same text",
+]
+
+
+def plain(doc_id, text, seed=42, rate=50, suffix_first=80, characters=False):
+    text = text or ""
+    units = list(text) if characters else TOKEN.findall(text)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    low, high = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:low], units[low:high], units[high:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return doc_id, len(units), "plain", None, None, text, text
+    if h[3] % 100 < suffix_first:
+        form, out = "spm", f"<S>{suffix}<P>{prefix}<M>{middle}"
+    else:
+        form, out = "psm", f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return doc_id, len(units), form, len(prefix), len(middle), out, text
+
+
+@pytest.mark.parametrize("settings_", [{}, {"rate": 100, "suffix_first": 50}, {"rate": 100, "suffix_first": 50, "characters": True}])
+def test_equals_the_plain_version_and_restores(spark, settings_):
+    texts = [(k, t, "clash", "x", "y") for k, t in enumerate(TEXTS * 8)] + [(None, "no id here", "", "", "")] * 2
+    docs = spark.createDataFrame(texts, "doc_id long, text string, form string, output string, h1 string").repartition(3)
+    out = M.fill_in_middle(docs, **settings_)
+    got = out.withColumn("back", M.restored(out["form"], out["output"])).collect()
+    expected = [plain(r[0], r[1], **settings_) for r in texts]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+    assert settings_ == {} or {"psm", "spm", "plain"} == {r["form"] for r in got}
+
+
+def test_empty_table(spark):
+    out = M.digests(M.fill_in_middle(spark.createDataFrame([], "doc_id long, text string")))
+    assert out.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"]
+    assert out.collect() == []
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_the_exception_index_converts_both_ways(text):
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    index = M.ExceptionIndex(data)
+    in_bytes = np.array([len(text[:k].encode("utf-8", "surrogatepass")) for k in range(len(text) + 1)])
+    assert index.to_characters(in_bytes).tolist() == list(range(len(text) + 1))
+    assert index.to_bytes(np.arange(len(text) + 1)).tolist() == in_bytes.tolist()
