@@ -4,8 +4,8 @@ The kept terms of a language are those in at least ``MIN_DOCS`` of its documents
 They are found by iceberg prefix refinement: a prefix cannot stand in fewer
 documents than a term that begins with it, so the prefixes of ``FIRST`` bytes are
 counted first, those in too few documents are discarded, the others are extended
-to twice the length, and so on until only complete terms remain (a term ends in a
-zero byte, which no term holds).
+to twice the length, and so on until only complete terms remain (a term shorter
+than the level's length is complete).
 
 Documents are read once. Each stretch of a task's documents becomes an inverted
 index of its terms, written to the shared folder; a level counts the distinct
@@ -31,7 +31,6 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.kernels import Words, mixed
 from headway.llm.staging import bounded_batches, staged
 
 MIN_DOCS = 10
@@ -51,7 +51,6 @@ INDEX_TERMS = 4096
 BITMAP_BITS = 1 << 26
 _BLOCK_BITS = 8 * 4096
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_END = b"\0"
 INDEX = "lang string, sources array<string>, source_of array<int>, terms array<binary>, lengths array<int>, docs array<int>, counts array<int>"
 
 
@@ -118,8 +117,44 @@ def _numbers(batch: pa.RecordBatch, column: int, row: int) -> np.ndarray:
     return batch.column(column)[row].values.to_numpy(zero_copy_only=False)
 
 
-def _is_set(bitmap: np.ndarray, keys: Iterator[bytes], count: int) -> np.ndarray:
-    at = np.fromiter((zlib.crc32(k) for k in keys), np.int64, count) % BITMAP_BITS
+def _hashes(mark: bytes, terms: pa.BinaryArray, length: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmap places of the terms' prefixes of ``length`` bytes (None: whole terms), and whether a prefix is complete."""
+    data, bounds = _bytes_of(terms)
+    starts, ends = bounds[:-1], bounds[1:]
+    complete = np.ones(len(terms), bool) if length is None else ends - starts < length
+    if length is not None:
+        ends = np.minimum(ends, starts + length)
+    own = Words().hashes(data, starts, ends) if len(data) else np.zeros(len(terms), np.uint64)
+    return mixed(own ^ np.uint64(zlib.crc32(mark)) ^ (complete.astype(np.uint64) << np.uint64(63))), complete
+
+
+def _bytes_of(terms: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    _, offsets, data = terms.cast(pa.large_binary()).buffers()
+    bounds = np.frombuffer(offsets, np.int64)[: len(terms) + 1]
+    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _begins(terms: pa.BinaryArray, length: int) -> np.ndarray:
+    """Whether each of the sorted terms has another prefix of ``length`` bytes than the one before it."""
+    data, bounds = _bytes_of(terms)
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    new = np.zeros(len(sizes), bool)
+    new[:1] = True
+    at = np.arange(1, len(sizes))
+    for k in range(length):
+        inside = (sizes[at] > k) & (sizes[at - 1] > k)
+        new[at[~inside]] = True
+        at = at[inside]
+        alike = data[starts[at] + k] == data[starts[at - 1] + k]
+        new[at[~alike]] = True
+        at = at[alike]
+        if not len(at):
+            break
+    return new
+
+
+def _is_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes % np.uint64(BITMAP_BITS)).astype(np.int64)
     return bitmap[at >> 3] >> (at & 7) & 1 == 1
 
 
@@ -130,80 +165,81 @@ def _level_counter(length: int, shared):
         bitmap = None if shared is None else np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang = batch.column(0)[row].as_py()
-                terms = [t + _END for t in batch.column(3)[row].as_py()]
-                lengths = _numbers(batch, 4, row)
-                if bitmap is None:
-                    alive = np.ones(len(terms), bool)
-                else:
-                    before, mark = length // 2, lang.encode() + _END
-                    alive = np.fromiter((len(t) > before for t in terms), bool, len(terms))
-                    alive &= _is_set(bitmap, (mark + t[:before] for t in terms), len(terms))
-                prefixes, group = [], np.full(len(terms), -1)
-                for prefix, members in groupby(np.flatnonzero(alive), lambda k: terms[k][:length]):
-                    group[list(members)] = len(prefixes)
-                    prefixes.append(prefix)
-                if not prefixes:
+                lang, terms = batch.column(0)[row].as_py(), batch.column(3)[row].values
+                alive = np.ones(len(terms), bool)
+                if bitmap is not None:
+                    hashes, ended = _hashes(lang.encode(), terms, length // 2)
+                    alive = ~ended & _is_set(bitmap, hashes)
+                if not alive.any():
                     continue
-                own = np.repeat(group, lengths)
+                live = terms.filter(pa.array(alive))
+                begins = _begins(live, length)
+                group = np.full(len(terms), -1)
+                group[alive] = np.cumsum(begins) - 1
+                prefixes = pc.binary_slice(live.filter(pa.array(begins)), 0, length)
+                own = np.repeat(group, _numbers(batch, 4, row))
                 docs = _numbers(batch, 5, row).astype(np.int64)
                 top = docs.max() + 1
                 distinct = np.unique((own * top + docs)[own >= 0])
-                n = np.bincount(distinct // top, minlength=len(prefixes))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(prefixes), pa.string()), pa.array(prefixes, pa.binary()), pa.array(n)],
-                    names=["lang", "prefix", "docs"],
+                    [
+                        pa.array([lang]).take(pa.array(np.zeros(len(prefixes), np.int32))),
+                        prefixes,
+                        pc.less(pc.binary_length(prefixes), length),
+                        pa.array(np.bincount(distinct // top, minlength=len(prefixes))),
+                    ],
+                    names=["lang", "prefix", "complete", "docs"],
                 )
 
     return count
 
 
 def _term_counter(shared):
-    """Occurrences per source of the terms that the bitmap holds, summed over a task's rows while they fit."""
+    """For each term of an index row that the bitmap holds, its sources and their occurrences."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(shared.value, np.uint8)
-        sums: dict[tuple, int] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if sums:
-                langs, sources, terms = zip(*sums)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, sources = batch.column(0)[row].as_py(), batch.column(1)[row].values
+                terms = batch.column(3)[row].values
+                kept = _is_set(bitmap, _hashes(lang.encode(), terms)[0])
+                number = np.where(kept, np.cumsum(kept) - 1, -1)
+                term = np.repeat(number, _numbers(batch, 4, row))
+                source = _numbers(batch, 2, row)[_numbers(batch, 5, row)]
+                own = term >= 0
+                places, at = np.unique((term * len(sources) + source)[own], return_inverse=True)
+                found = np.bincount(at, _numbers(batch, 6, row)[own], len(places)).astype(np.int64)
+                bounds = pa.array(np.searchsorted(places // len(sources), np.arange(kept.sum() + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(langs, pa.string()),
-                        pa.array(sources, pa.string()),
-                        pa.array(terms, pa.binary()),
-                        pa.array(sums.values(), pa.int64()),
+                        pa.array([lang]).take(pa.array(np.zeros(int(kept.sum()), np.int32))),
+                        terms.filter(pa.array(kept)),
+                        pa.ListArray.from_arrays(bounds, sources.take(pa.array(places % len(sources)))),
+                        pa.ListArray.from_arrays(bounds, pa.array(found)),
                     ],
-                    names=["lang", "source", "term", "n"],
+                    names=["lang", "term", "sources", "counts"],
                 )
-                sums.clear()
 
+    return count
+
+
+def _placer(length: int | None):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bitmap places, from 1, of rows of lang and prefix."""
         for batch in batches:
-            for row in range(batch.num_rows):
-                lang, sources = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                terms = batch.column(3)[row].as_py()
-                mark = lang.encode() + _END
-                kept = _is_set(bitmap, (mark + t + _END for t in terms), len(terms))
-                term = np.repeat(np.where(kept, np.arange(len(terms)), -1), _numbers(batch, 4, row))
-                source = _numbers(batch, 2, row)[_numbers(batch, 5, row)]
-                places, at = np.unique((term * len(sources) + source)[term >= 0], return_inverse=True)
-                found = np.bincount(at, _numbers(batch, 6, row)[term >= 0], len(places)).astype(np.int64)
-                for p, n in zip(places.tolist(), found.tolist()):
-                    key = (lang, sources[p % len(sources)], terms[p // len(sources)])
-                    sums[key] = sums.get(key, 0) + n
-                if len(sums) > 500_000:
-                    yield from out()
-        yield from out()
+            langs = np.array(batch.column(0).to_pylist(), object)
+            for lang in set(langs):
+                hashes, _ = _hashes(lang.encode(), batch.column(1).filter(pa.array(langs == lang)), length)
+                yield pa.RecordBatch.from_arrays([pa.array((hashes % np.uint64(BITMAP_BITS)).astype(np.int64) + 1)], names=["place"])
 
-    return count
+    return place
 
 
-def _bitmap(prefixes: DataFrame) -> bytes:
-    """A bit for each (lang, prefix), by checksum; always ``BITMAP_BITS`` long, so its broadcast has a bound."""
-    place = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(_END), F.col("prefix"))) % BITMAP_BITS + 1
+def _bitmap(prefixes: DataFrame, length: int | None = None) -> bytes:
+    """A bit for each row of lang and prefix, by hash; always ``BITMAP_BITS`` long, so its broadcast has a bound."""
     blocks = (
-        prefixes.select(place.alias("place"))
+        prefixes.mapInArrow(_placer(length), "place long")
         .groupBy(F.bitmap_bucket_number("place").alias("block"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
     )
@@ -227,37 +263,37 @@ def index_terms(docs: DataFrame) -> DataFrame:
 def kept_terms(index: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term (bytes) and distinct documents of the terms in at least ``min_docs`` documents of their language."""
     spark = index.sparkSession
-    complete = F.endswith(F.col("prefix"), F.lit(_END))
     length, shared, kept = FIRST, None, None
     while True:
         level = staged(
-            index.mapInArrow(_level_counter(length, shared), "lang string, prefix binary, docs long")
-            .groupBy("lang", "prefix")
+            index.mapInArrow(_level_counter(length, shared), "lang string, prefix binary, complete boolean, docs long")
+            .groupBy("lang", "prefix", "complete")
             .agg(F.sum("docs").alias("docs"))
             .where(F.col("docs") >= min_docs)
         )
         if shared is not None:
             shared.destroy()
-        ended = level.where(complete).select("lang", F.expr("substring(prefix, 1, length(prefix) - 1)").alias("term"), "docs")
+        ended = level.where("complete").select("lang", F.col("prefix").alias("term"), "docs")
         kept = ended if kept is None else kept.unionByName(ended)
-        going = level.where(~complete)
-        if not going.agg(F.count(F.lit(1))).first()[0]:
+        going = level.where("not complete").select("lang", "prefix")
+        if not going.count():
             return kept
-        shared = spark.sparkContext.broadcast(_bitmap(going))
+        shared = spark.sparkContext.broadcast(_bitmap(going, length))
         length *= 2
 
 
 def term_counts(index: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, term and its occurrences n there, for kept terms."""
-    full = kept.select("lang", F.concat(F.col("term"), F.lit(_END)).alias("prefix"))
-    shared = index.sparkSession.sparkContext.broadcast(_bitmap(full))
-    counts = (
-        index.mapInArrow(_term_counter(shared), "lang string, source string, term binary, n long")
-        .groupBy("lang", "source", "term")
+    kept = kept.select("lang", "term")
+    shared = index.sparkSession.sparkContext.broadcast(_bitmap(kept))
+    return staged(
+        index.mapInArrow(_term_counter(shared), "lang string, term binary, sources array<string>, counts array<long>")
+        .join(kept, ["lang", "term"], "left_semi")
+        .repartition("lang", "term")
+        .select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+        .groupBy("lang", "term", "source")
         .agg(F.sum("n").alias("n"))
-        .join(kept.select("lang", "term"), ["lang", "term"], "left_semi")
     )
-    return staged(counts)
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -82,7 +82,7 @@ def test_stretches_and_rows_of_the_index_change_nothing(spark, monkeypatch):
 
 
 def test_a_bitmap_that_lets_everything_through_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(M, "_bitmap", lambda prefixes: b"\xff" * (M.BITMAP_BITS // 8))
+    monkeypatch.setattr(M, "_bitmap", lambda prefixes, length=None: b"\xff" * (M.BITMAP_BITS // 8))
     assert sorted(map(tuple, M.audit(frame(spark, rows(3))).collect())) == plain(rows(3), 10, 10)
 
 
@@ -90,9 +90,9 @@ def test_levels_discard_prefixes_below_the_threshold(spark, monkeypatch):
     seen = []
     whole = M._bitmap
 
-    def watched(prefixes):
+    def watched(prefixes, length=None):
         seen.append({bytes(r["prefix"]) for r in prefixes.select("prefix").collect()})
-        return whole(prefixes)
+        return whole(prefixes, length)
 
     monkeypatch.setattr(M, "_bitmap", watched)
     data = [("common commonest commoner", "en", "a")] * 10 + [("comet rare commodity", "en", "a")] * 9
