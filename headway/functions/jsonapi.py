@@ -27,15 +27,6 @@ def related_ids(data: Column) -> Column:
     )
 
 
-def page_items(page: Column, item_type: str) -> Column:
-    """Records of one page text: a lone object counts as one, null as none."""
-    data = F.get_json_object(page, "$.data")
-    return F.coalesce(
-        F.from_json(data, f"array<{item_type}>"),
-        F.array().cast(f"array<{item_type}>"),
-    )
-
-
 def distinct_ids(entities: Column, field: str) -> Column:
     """Sorted distinct non-empty ids of ``field`` over a struct array; null if none."""
     ids = F.array_distinct(

@@ -1,9 +1,11 @@
 """Live records: parsing, route filter, cutoff filter, flattening, envelope, counters.
 
 Parsed records are rows ``endpoint, id, type, attributes, relationships``, from a
-JSON scan with ``RECORD_DDL`` or from text through ``parse``. All three endpoints
-share one projection; a field an endpoint does not publish is null there, and
-the JSON envelope leaves nulls out.
+JSON scan with ``RECORD_DDL`` or from text through ``parse``. Published attributes
+are variants: a value of another type than the feed declares reaches the message
+as it came, and a present null stays a null. ``flatten`` can also give them their
+declared types. All three endpoints share one projection; a field an endpoint does
+not publish, or a record lacks, is null there, and the JSON envelope leaves it out.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.jsonapi import distinct_ids, page_items, related_id, related_ids
+from headway.functions.jsonapi import distinct_ids, related_id, related_ids
 from headway.functions.values import first_filled, instant_of
 from headway.schemas import ALERT_TARGETS, LIVE_FIELDS, LIVE_LINKS
 
@@ -33,7 +35,7 @@ def _all_links() -> list[str]:
 
 def _record_ddl() -> str:
     entities = ",".join(f"{t}:string" for t in ALERT_TARGETS)
-    attributes = ",".join(f"{n}:{k}" for n, k in _all_fields().items())
+    attributes = ",".join(f"{n}:variant" for n in _all_fields())
     links = ",".join(f"{link}:struct<data:string>" for link in _all_links())
     return (
         f"id string, type string, "
@@ -44,14 +46,8 @@ def _record_ddl() -> str:
 
 # Columns of a live record; relationship ``data`` stays text as its shape varies.
 RECORD_DDL = _record_ddl()
-
-
-def split_pages(pages: DataFrame, item_type: str, page: str = "page") -> DataFrame:
-    """Rows of all pages of a listing, in place of the page text: one union of their ``data``."""
-    return pages.select(
-        *[c for c in pages.columns if c != page],
-        F.explode(page_items(F.col(page), item_type)).alias("item"),
-    )
+RECORD_TEXT = "_record_text"
+SENT, FILTERED_OUT, REJECTED = "sent", "filtered_out", "rejected"
 
 
 def landed_records(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -77,16 +73,27 @@ def is_readable() -> Column:
     return F.col("id").isNotNull()
 
 
-def parse(records: DataFrame) -> DataFrame:
+def parse(records: DataFrame, keep_text: bool = False) -> DataFrame:
     """``record`` text as the record's columns; other columns pass through.
 
     The parse sits in a generator: the filters that follow then read its result
     instead of being pushed below it, where each would parse the text again.
+    ``keep_text`` keeps the text as ``RECORD_TEXT``, for what turns out unreadable.
     """
-    kept = [c for c in records.columns if c != "record"]
+    kept = [F.col(c) for c in records.columns if c != "record"]
+    if keep_text:
+        kept.append(F.col("record").alias(RECORD_TEXT))
     return records.select(*kept, F.inline(F.array(F.from_json("record", RECORD_DDL))))
 
 
+def typed(value: Column, kind: str) -> Column:
+    """A variant as ``kind``; null where it holds something else."""
+    found = F.try_variant_get(value, "$", kind)
+    if kind == "bigint":
+        return F.when(F.try_variant_get(value, "$", "double") == found, found)
+    return found
+
+
 def _published(name: str, value: Column, owners: dict) -> Column:
     """``value`` on the endpoints that publish ``name``, null elsewhere."""
     endpoints = [e for e, names in owners.items() if name in names]
@@ -95,20 +102,34 @@ def _published(name: str, value: Column, owners: dict) -> Column:
     return F.when(F.col("endpoint").isin(endpoints), value)
 
 
-def filter_routes(parsed: DataFrame, routes: Sequence[str] = DEFAULT_ROUTES) -> DataFrame:
+def filter_routes(
+    parsed: DataFrame, routes: Sequence[str] | DataFrame = DEFAULT_ROUTES, also: Column | None = None
+) -> DataFrame:
     """Keep predictions of the wanted routes only and stamp them with ``filter_route``.
 
-    Vehicles and alerts are unrestricted and carry no filter route.
+    Vehicles and alerts are unrestricted and carry no filter route, nor do the
+    rows ``also``, which all stay. ``routes`` may be a table, whose first column
+    names the routes; it is joined, by broadcast where its size allows. An empty
+    list means the default routes, an empty table none.
     """
     route = related_id(F.col("relationships.route.data"))
-    wanted = list(routes) or list(DEFAULT_ROUTES)
     predicted = F.col("endpoint") == "predictions"
-    return parsed.where(~predicted | route.isin(wanted)).withColumn("filter_route", F.when(predicted, route))
+    free = ~predicted if also is None else ~predicted | also
+    stamp = F.when(predicted & ~free, route)
+    if not isinstance(routes, DataFrame):
+        wanted = list(routes) or list(DEFAULT_ROUTES)
+        return parsed.where(free | route.isin(wanted)).withColumn("filter_route", stamp)
+    wanted = routes.select(F.col(routes.columns[0]).cast("string").alias("_wanted")).distinct()
+    # Rows without a route to look up get keys of their own, or one task would hold them all.
+    key = F.coalesce(stamp, F.concat(F.lit("\0"), F.coalesce("id", F.uuid())))
+    marked = parsed.withColumn("filter_route", stamp).withColumn("_route", key)
+    joined = marked.join(wanted, F.col("_route") == F.col("_wanted"), "left")
+    return joined.where(free | F.col("_wanted").isNotNull()).drop("_route", "_wanted")
 
 
 def changed_at() -> Column:
     attributes = F.col("attributes")
-    return instant_of(first_filled(attributes["updated_at"], attributes["created_at"]))
+    return instant_of(first_filled(*[typed(attributes[n], "string") for n in ("updated_at", "created_at")]))
 
 
 def cutoff_column(cutoffs: dict[str, datetime]) -> Column:
@@ -124,12 +145,42 @@ def is_news(cutoffs: dict[str, datetime]) -> Column:
     return F.coalesce(changed_at() > cutoff_column(cutoffs), F.lit(True))
 
 
-def flatten(parsed: DataFrame) -> DataFrame:
-    """Envelope inputs, published attributes and related ids as flat columns."""
+def judge(
+    parsed: DataFrame,
+    cutoffs: dict[str, datetime],
+    routes: Sequence[str] | DataFrame = DEFAULT_ROUTES,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """The records a poll fetched, with ``filter_route``, ``changed_at`` and ``status``.
+
+    ``known`` (endpoint, id, changed_at) are changes sent before; they are
+    filtered out though they lie after the cutoff. Unreadable records are
+    ``rejected``, whatever their endpoint and route.
+    """
+    fetched = filter_routes(parsed, routes, also=~is_readable()).withColumn("changed_at", changed_at())
+    news = is_news(cutoffs)
+    if known is not None:
+        sent = known.select(
+            F.col("endpoint").alias("_endpoint"), F.col("id").alias("_id"), F.col("changed_at").alias("_changed_at")
+        ).distinct()
+        same = [F.col(c) == F.col(f"_{c}") for c in ("endpoint", "id", "changed_at")]
+        fetched = fetched.join(sent, same, "left")
+        news = news & F.col("_id").isNull()
+    status = F.when(~is_readable(), REJECTED).when(news, SENT).otherwise(FILTERED_OUT)
+    return fetched.withColumn("status", status).drop("_endpoint", "_id", "_changed_at")
+
+
+def flatten(parsed: DataFrame, declared_types: bool = True) -> DataFrame:
+    """Envelope inputs, published attributes and related ids as flat columns.
+
+    Attributes get their declared types, or stay variants as they came.
+    """
     attributes, links = F.col("attributes"), F.col("relationships")
-    columns = {
-        name: _published(name, attributes[name], LIVE_FIELDS) for name in _all_fields()
-    }
+
+    def attribute(name: str, kind: str) -> Column:
+        return typed(attributes[name], kind) if declared_types else attributes[name]
+
+    columns = {name: _published(name, attribute(name, kind), LIVE_FIELDS) for name, kind in _all_fields().items()}
     for link in _all_links():
         data = links[link]["data"]
         columns[f"{link}_id"] = _published(link, related_id(data), LIVE_LINKS)
@@ -138,7 +189,7 @@ def flatten(parsed: DataFrame) -> DataFrame:
     for target in ALERT_TARGETS:
         informed = distinct_ids(attributes["informed_entity"], target)
         columns[f"{target}_ids"] = F.when(is_alert, informed).otherwise(columns[f"{target}_ids"])
-    passed = [c for c in parsed.columns if c not in ("id", "type", "attributes", "relationships")]
+    passed = [c for c in parsed.columns if c not in ("id", "type", "attributes", "relationships", RECORD_TEXT)]
     return parsed.select(
         *passed,
         F.col("type").alias("record_type"),
@@ -156,10 +207,12 @@ def endpoint_columns(endpoint: str) -> list[str]:
     return ["record_id", *LIVE_FIELDS[endpoint], *ids]
 
 
-def envelope(flat: DataFrame, polled_at: datetime | str, source: str = DEFAULT_SOURCE) -> DataFrame:
-    """One message per record: ``topic`` (its endpoint), ``key`` and JSON ``value``."""
+def envelope(
+    flat: DataFrame, polled_at: datetime | str, source: str = DEFAULT_SOURCE, beside: Sequence[str] = ()
+) -> DataFrame:
+    """One message per record: ``topic`` (its endpoint), ``key`` and JSON ``value``; columns ``beside`` stay out of it."""
     polled = polled_at if isinstance(polled_at, str) else polled_at.isoformat()
-    fields = [c for c in flat.columns if c not in ENVELOPE]
+    fields = [c for c in flat.columns if c not in (*ENVELOPE, *beside)]
     message = F.struct(
         F.lit(source).alias("source"),
         F.concat(F.lit("/"), F.col("endpoint")).alias("endpoint"),
@@ -173,26 +226,31 @@ def envelope(flat: DataFrame, polled_at: datetime | str, source: str = DEFAULT_S
         F.col("endpoint").alias("topic"),
         F.col("record_id").alias("key"),
         F.to_json(message).alias("value"),
+        *beside,
     )
 
 
-def count_poll(parsed: DataFrame, cutoffs: dict[str, datetime]) -> DataFrame:
-    """Fetched, sent and filtered-out records per endpoint and filter route."""
-    news = is_news(cutoffs)
-    return parsed.groupBy("endpoint", "filter_route").agg(
-        F.count(F.lit(1)).alias("fetched"),
-        F.count_if(news).alias("sent"),
-        F.count_if(~news).alias("filtered_out"),
-    )
+def poll_counts() -> list[Column]:
+    """Fetched, sent, filtered-out and rejected records; rejected ones do not count as fetched."""
+    status = F.col("status")
+    return [
+        F.count_if(status != REJECTED).alias("fetched"),
+        *[F.count_if(status == name).alias(name) for name in (SENT, FILTERED_OUT, REJECTED)],
+    ]
+
+
+def count_poll(judged: DataFrame) -> DataFrame:
+    """The poll's counters per endpoint and filter route; rejected records have no route."""
+    return judged.groupBy("endpoint", "filter_route").agg(*poll_counts())
 
 
 def poll_messages(
     parsed: DataFrame,
     cutoffs: dict[str, datetime],
     polled_at: datetime | str,
-    routes: Sequence[str] = DEFAULT_ROUTES,
+    routes: Sequence[str] | DataFrame = DEFAULT_ROUTES,
     source: str = DEFAULT_SOURCE,
 ) -> DataFrame:
     """One poll as a projection over its readable records: no shuffle, no state of its own."""
     wanted = filter_routes(parsed.where(is_readable()), routes).where(is_news(cutoffs))
-    return envelope(flatten(wanted), polled_at, source)
+    return envelope(flatten(wanted, declared_types=False), polled_at, source)

@@ -10,10 +10,21 @@ from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from headway.functions.batch_ids import window_start
 from headway.operators.shape import clean, flatten_documents, in_batch, stamp
-from headway.operators.trip_facts import narrow_to_groups, on_or_after, trip_facts, window_groups
+from headway.operators.replace_window import from_day, overwrite_where
+from headway.operators.trip_facts import (
+    facts_of,
+    narrow_to_groups,
+    on_or_after,
+    trip_facts,
+    trips_of_groups,
+    window_groups,
+    with_duration,
+)
+from headway.plans import rollup
 from headway.plans.layers import Lake
 from headway.schemas import ENTITIES, ROUTE_PATTERNS, ROUTES, SCHEDULES, TRIPS, Entity
 from headway.session import prepare
@@ -75,9 +86,11 @@ def load_silver(lake: Lake, entity: Entity, batch_id: str, full: bool, run_ts=No
     bronze = lake.bronze(entity)
     table = lake.silver(entity)
     if full:
-        return table.overwrite(silver_rows(bronze.read(), entity, run_ts))
+        table.overwrite(silver_rows(bronze.read(), entity, run_ts))
+        return rollup.rebuild(lake) if entity is SCHEDULES else None
     latest = in_batch(bronze.read(only={batch_id}), batch_id)
-    return table.upsert(silver_rows(latest, entity, run_ts), entity.silver_keys)
+    rows = silver_rows(latest, entity, run_ts)
+    return rollup.merge_schedules(lake, rows) if entity is SCHEDULES else table.upsert(rows, entity.silver_keys)
 
 
 def load_gold(lake: Lake, batch_id: str, full: bool, run_ts=None, audited: bool = False) -> None:
@@ -85,18 +98,22 @@ def load_gold(lake: Lake, batch_id: str, full: bool, run_ts=None, audited: bool
 
     The table is partitioned by service date, so the replaced dates are dropped
     by folder, dates without new facts included; older and undated rows are
-    neither read nor written.
+    neither read nor written. An incremental run takes the trips' totals as the
+    batch left them and reads no schedules.
     """
     table = lake.trips_metrics
-    silver = [lake.silver(e).read() for e in (SCHEDULES, ROUTES, TRIPS, ROUTE_PATTERNS)]
+    routes, trips, patterns = (lake.silver(e).read() for e in (ROUTES, TRIPS, ROUTE_PATTERNS))
     if full:
-        facts = trip_facts(*silver)
+        facts = trip_facts(lake.silver(SCHEDULES).read(), routes, trips, patterns)
         table.overwrite(stamp(facts, run_ts) if audited else facts)
         return
+    if not lake.trip_totals.version():
+        rollup.rebuild(lake)
     first_day = window_start(batch_id)
     with Staging(lake.spark, "gold") as staging:
-        rows = gold_window(*silver, first_day, staging, run_ts)
-        table.replace(rows, drop=lambda value: value is not None and date.fromisoformat(value) >= first_day)
+        totals = staging.keep(lake.trip_totals.read().where(F.col("departure_time") >= F.lit(first_day).cast("timestamp")))
+        facts = facts_of(with_duration(totals), routes, trips_of_groups(trips, totals), patterns)
+        overwrite_where(table, stamp(facts, run_ts), from_day(first_day))
 
 
 def run(

@@ -5,20 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators import live
 from headway.schemas import LIVE_FIELDS
+from headway.sources.files import Staging
 from headway.sources.state import PollState
 
 POLL_INTERVAL = "1 minute"
 #: A cutoff stays this far behind the latest change seen, so that changes stamped in the
-#: same second and landed later are not lost; the last ones are sent again instead.
+#: same second and landed later are not lost; what was sent beyond it is remembered.
 OVERLAP = timedelta(seconds=1)
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 Sink = Callable[[DataFrame, int], None]
+Routes = Sequence[str] | DataFrame | Callable[[], Sequence[str] | DataFrame]
 
 
 def read_records(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -26,15 +28,16 @@ def read_records(spark: SparkSession, folder: str, max_files: int | None = None)
     reader = spark.readStream.schema("value string, endpoint string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return live.parse(live.landed_records(reader.text(folder)))
+    return live.parse(live.landed_records(reader.text(folder)), keep_text=True)
 
 
 def file_sink(folder: str) -> Sink:
-    """Messages as Parquet files per poll and topic; a repeated poll replaces its own files."""
+    """Messages as Parquet files per poll and topic; a repeated poll replaces its own files of the topics given."""
 
     def write(messages: DataFrame, epoch: int) -> None:
         out = messages.withColumn("key", F.coalesce("key", F.lit("")))
-        out.write.mode("overwrite").partitionBy("topic").parquet(f"{folder}/poll={epoch:010d}")
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("topic").parquet(f"{folder}/poll={epoch:010d}")
 
     return write
 
@@ -70,7 +73,7 @@ def moved_cutoffs(
 def poll_batch(
     state: PollState,
     sink: Sink,
-    routes: Sequence[str] = live.DEFAULT_ROUTES,
+    routes: Routes = live.DEFAULT_ROUTES,
     source: str = live.DEFAULT_SOURCE,
     full_backfill: bool = False,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
@@ -78,46 +81,96 @@ def poll_batch(
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body of one poll.
 
-    An endpoint's cutoff follows the latest change it delivered, never the mere
-    time of a poll: without dated records it stays, and what lands late but is
-    stamped after it is still sent. Cutoffs move only after the sink has the
-    messages. If the sink fails, the micro-batch is repeated with the cutoffs it
-    had before. Records without an id (unreadable text) are counted as rejected,
-    not sent.
+    Records are parsed in one pass, whose outcome is staged: messages, rejected
+    text with its reason, and what the counters need. An endpoint's cutoff follows
+    the latest change it delivered, less ``OVERLAP``, never the mere time of a poll.
+    Changes sent beyond the cutoff are remembered by id and instant, so a feed that
+    repeats its state sends each change once and one landed late is still sent.
+
+    The sink takes one endpoint's messages at a time. An endpoint whose sink fails
+    keeps its cutoff, and its messages wait in the state for the next poll; the
+    others go on. If no endpoint's messages could be sent, the error is raised and
+    the micro-batch is repeated with the state it had before. ``routes`` may be a
+    function, called in every poll, that returns the wanted routes or their table.
     """
 
     def run(parsed: DataFrame, epoch: int) -> None:
         polled_at = clock()
         earlier = state.before(epoch)
-        cutoffs = {} if full_backfill else earlier
-        rejected = Observation()
-        unreadable = [
-            F.count_if((F.col("endpoint") == e) & ~live.is_readable()).alias(f"{e}_rejected") for e in LIVE_FIELDS
-        ]
-        readable = parsed.observe(rejected, *unreadable).where(live.is_readable())
-        wanted = live.filter_routes(readable, routes).withColumn("_news", live.is_news(cutoffs))
-        changed = F.unix_micros(live.changed_at())
-        seen = Observation()
-        counts = [
-            metric
-            for endpoint in LIVE_FIELDS
-            for metric in (
-                F.count_if(F.col("endpoint") == endpoint).alias(f"{endpoint}_fetched"),
-                F.count_if((F.col("endpoint") == endpoint) & F.col("_news")).alias(f"{endpoint}_sent"),
-                F.max(F.when(F.col("endpoint") == endpoint, changed)).alias(f"{endpoint}_latest"),
+        known, pending = state.known(epoch), state.pending(epoch)
+        waiting = pending.select(F.col("topic").alias("endpoint"), F.col("key").alias("id"), "changed_at")
+        judged = live.judge(
+            parsed,
+            {} if full_backfill else earlier,
+            routes() if callable(routes) else routes,
+            None if full_backfill else known.unionByName(waiting),
+        )
+        with Staging(parsed.sparkSession, "poll") as staging:
+            rows = staging.keep(_outcome(judged, polled_at, source))
+            totals = {
+                r["endpoint"]: r.asDict()
+                for r in rows.groupBy("endpoint")
+                .agg(*live.poll_counts(), F.max(F.unix_micros("changed_at")).alias("latest"))
+                .collect()
+            }
+            state.write("counters", epoch, live.count_poll(rows))
+            if any(t["rejected"] for t in totals.values()):
+                rejected = rows.where(F.col("status") == live.REJECTED)
+                state.write("dead_letters", epoch, rejected.select("endpoint", "reason", F.col("value").alias("text")))
+
+            held_back = {r["topic"] for r in pending.select("topic").distinct().collect()}
+            sent = rows.where(F.col("status") == live.SENT).select(
+                F.col("endpoint").alias("topic"), "key", "value", "changed_at"
             )
-        ]
-        news = wanted.observe(seen, *counts).where("_news").drop("_news")
-        sink(live.envelope(live.flatten(news), polled_at, source), epoch)
-        counted = seen.get
-        latest = {endpoint: counted.pop(f"{endpoint}_latest") for endpoint in LIVE_FIELDS}
-        state.save(epoch, earlier | moved_cutoffs(earlier, latest, polled_at))
+            messages = pending.unionByName(sent)
+            failed: dict[str, Exception] = {}
+            due = [e for e in LIVE_FIELDS if e in held_back or totals.get(e, {}).get("sent")]
+            for endpoint in due:
+                try:
+                    sink(messages.where(F.col("topic") == endpoint).select("topic", "key", "value"), epoch)
+                except Exception as e:
+                    failed[endpoint] = e
+            if failed and len(failed) == len(due):
+                raise next(iter(failed.values()))
+
+            latest = {e: t["latest"] for e, t in totals.items() if e not in failed}
+            cutoffs = earlier | moved_cutoffs(earlier, latest, polled_at)
+            unsent = F.col("topic").isin(list(failed)) if failed else F.lit(False)
+            delivered = messages.where(~unsent).select(F.col("topic").alias("endpoint"), F.col("key").alias("id"), "changed_at")
+            beyond = F.col("changed_at") > live.cutoff_column(cutoffs)
+            remembered = known.unionByName(delivered).where(beyond).distinct()
+            state.save(epoch, cutoffs, known=remembered, pending=messages.where(unsent))
         if report:
-            report(epoch, counted | rejected.get)
+            counts = {f"{e}_{n}": totals.get(e, {}).get(n, 0) for e in LIVE_FIELDS for n in _COUNTED}
+            report(epoch, counts | {f"{e}_failed": str(error) for e, error in failed.items()})
 
     return run
 
 
+_COUNTED = ("fetched", live.SENT, live.FILTERED_OUT, live.REJECTED)
+
+
+def _outcome(judged: DataFrame, polled_at: datetime, source: str) -> DataFrame:
+    """endpoint, key, value, filter_route, changed_at, status and reason of every record, from one parse.
+
+    ``value`` is the message of a sent record, the text of a rejected one.
+    """
+    beside = F.struct("endpoint", "filter_route", "changed_at", "status", F.col(live.RECORD_TEXT).alias("text"))
+    flat = live.flatten(judged.withColumn("_beside", beside).drop("changed_at", "status"), declared_types=False)
+    message = live.envelope(flat, polled_at, source, beside=["_beside"])
+    status, text = F.col("_beside.status"), F.col("_beside.text")
+    keys = F.json_object_keys(text)
+    return message.select(
+        "_beside.endpoint",
+        "key",
+        F.when(status == live.SENT, F.col("value")).when(status == live.REJECTED, text).alias("value"),
+        "_beside.filter_route",
+        "_beside.changed_at",
+        status.alias("status"),
+        F.when(status == live.REJECTED, F.when(keys.isNull(), "no JSON object").otherwise("no id")).alias("reason"),
+    )
+
+
 def start_poll(
     parsed: DataFrame,
     checkpoint: str,

@@ -69,7 +69,7 @@ def test_messages_hold_published_fields_only(spark):
     common = {"source": "feed", "polled_at_utc": "2024-01-02T00:00:00+00:00"}
     assert got["v1"] == {
         **common, "endpoint": "/vehicles", "record_type": "vehicle", "record_id": "v1", "latitude": 42.5,
-        "bearing": 90, "label": "1700", "updated_at": "2024-01-01T12:00:01Z", "trip_id": "T1", "stop_ids": ["S1", "S2"],
+        "bearing": 90, "label": "1700", "speed": None, "updated_at": "2024-01-01T12:00:01Z", "trip_id": "T1", "stop_ids": ["S1", "S2"],
     }
     assert got["p1"] == {
         **common, "endpoint": "/predictions", "record_type": "prediction", "record_id": "p1", "filter_route": "Red",
@@ -77,7 +77,7 @@ def test_messages_hold_published_fields_only(spark):
     }
     assert got["a1"] == {
         **common, "endpoint": "/alerts", "record_type": "alert", "record_id": "a1", "severity": 7, "header": "Delay",
-        "active_period": [{"start": "2024-01-01T00:00:00-05:00"}], "route_ids": ["Red"], "stop_ids": ["S1", "S2"],
+        "active_period": [{"start": "2024-01-01T00:00:00-05:00", "end": None}], "route_ids": ["Red"], "stop_ids": ["S1", "S2"],
     }
 
 
@@ -140,10 +140,43 @@ def test_unreadable_records_do_not_fail_the_poll(spark):
 
 def test_counters_add_up(spark):
     late = {"id": "v2", "attributes": {"updated_at": "2024-01-01T00:00:00Z"}}
-    parsed = live.filter_routes(_parsed(spark, ("vehicles", VEHICLE), ("vehicles", late), ("predictions", PREDICTION)))
-    got = {r["endpoint"]: r for r in live.count_poll(parsed, {"vehicles": CUTOFF}).collect()}
-    assert (got["vehicles"]["fetched"], got["vehicles"]["sent"], got["vehicles"]["filtered_out"]) == (2, 1, 1)
-    assert (got["predictions"]["filter_route"], got["predictions"]["sent"]) == ("Red", 1)
+    parsed = _parsed(spark, ("vehicles", VEHICLE), ("vehicles", late), ("predictions", PREDICTION), ("predictions", {}))
+    got = {(r["endpoint"], r["filter_route"]): r[2:] for r in live.count_poll(live.judge(parsed, {"vehicles": CUTOFF})).collect()}
+    assert got == {("vehicles", None): (2, 1, 1, 0), ("predictions", "Red"): (1, 1, 0, 0), ("predictions", None): (0, 0, 0, 1)}
+
+
+def test_known_changes_are_filtered_out_by_id_and_instant(spark):
+    def at(id_, updated):
+        return {"id": id_, "attributes": {"updated_at": updated}}
+
+    records = [at("a", "2024-01-01T13:00:00Z"), at("a", "2024-01-01T08:00:00-05:00"), at("a", "2024-01-01T13:00:01Z"), at("b", "2024-01-01T13:00:00Z"), at("a", None)]
+    known = spark.createDataFrame([("vehicles", "a", CUTOFF.replace(hour=13)), ("alerts", "b", CUTOFF.replace(hour=13))] * 2, "endpoint string, id string, changed_at timestamp")
+    judged = live.judge(_parsed(spark, *[("vehicles", r) for r in records]), {"vehicles": CUTOFF}, known=known)
+    assert [r["status"] for r in judged.collect()] == ["filtered_out", "filtered_out", "sent", "sent", "sent"]
+
+
+def test_values_of_other_types_reach_the_message(spark):
+    odd = {"speed": "fast", "bearing": 3.5, "label": {"a": [1, None]}, "latitude": None, "direction_id": True, "updated_at": 7}
+    parsed = _parsed(spark, ("vehicles", {"id": "v", "attributes": odd}))
+    value = _values(live.poll_messages(parsed, {"vehicles": CUTOFF}, POLLED))["v"]
+    assert {k: value[k] for k in odd} == odd and "longitude" not in value
+    flat = live.flatten(live.filter_routes(parsed)).first()
+    assert (flat["speed"], flat["bearing"], flat["latitude"]) == (None, None, None)
+
+
+def test_routes_from_a_table(spark):
+    def on(route, id_):
+        return ("predictions", {"id": id_, "relationships": {"route": {"data": {"id": route}}}})
+
+    parsed = _parsed(spark, on("Red", "1"), on("Blue", "2"), on(None, "3"), ("vehicles", {"id": "4"}), ("predictions", {}))
+    routes = spark.createDataFrame([("Blue", 1), ("Blue", 2), (None, 3)], "route string, n int")
+
+    def kept(table, **options):
+        return sorted(((r["id"] or "", r["filter_route"]) for r in live.filter_routes(parsed, table, **options).collect()))
+
+    assert kept(routes) == [("2", "Blue"), ("4", None)]
+    assert kept(routes.limit(0)) == [("4", None)]
+    assert kept(routes, also=~live.is_readable()) == [("", None), ("2", "Blue"), ("4", None)]
 
 
 def test_endpoint_columns_match_the_flat_frame(spark):

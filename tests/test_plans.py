@@ -10,16 +10,21 @@ import __spark_entry__ as entry
 from headway.operators import live
 from headway.operators.trip_facts import rollup_schedules
 from headway.session import prepare
+from workload import batch, realtime
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"landing_scan", "landing_glob_scan", "stream_envelope", "stream_incremental"}  # write before they read
+CORE = {**batch.QUERIES, **realtime.QUERIES}
+EAGER = {  # write before they read
+    "landing_scan", "landing_glob_scan", "batch_marker", "stream_envelope", "stream_incremental", "stream_boundary",
+    "poll_run_counters", "dead_letters", "stream_route_table", "gold_overwrite_where", "gold_rollup_batches",
+}
 
 
 def _plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(CORE) - EAGER))
 def test_no_python_rows_and_no_cross_joins(spark, name):
     plan = _plan(entry.queries()[name](spark, FOLDER))
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
@@ -75,3 +80,41 @@ def test_live_text_is_parsed_once(spark):
     rows = spark.createDataFrame([("vehicles", "{}")], "endpoint string, record string")
     plan = _plan(live.poll_messages(live.parse(rows), {"vehicles": None}, "now"))
     assert plan.count("from_json(StructField(id") == 1 and "Exchange" not in plan
+
+
+def test_an_overwrite_reads_only_the_partition_it_cuts(spark, tmp_path, monkeypatch):
+    from datetime import date
+
+    from headway.operators.replace_window import from_day_by_month, overwrite_where, split_partitions
+    from headway.sources.layer import LayerTable, Partitioning
+
+    table = LayerTable(spark, f"{tmp_path}/facts", Partitioning("service_month"))
+    days = ["2024-01-31", "2024-02-01", "2024-02-10", "2024-02-29", "2024-03-01", None]
+    rows = spark.createDataFrame([(n, d) for n, d in enumerate(days)], "id int, d string")
+    rows = rows.selectExpr("id", "CAST(d AS DATE) AS service_date", "TRUNC(CAST(d AS DATE), 'month') AS service_month")
+    table.overwrite(rows)
+    scope = from_day_by_month(date(2024, 2, 10))
+    assert split_partitions(table, scope) == ({"2024-03-01"}, {"2024-02-01"})
+    before = set(table._state()[0])
+    asked, read = [], LayerTable.read
+    monkeypatch.setattr(LayerTable, "read", lambda self, only=None: asked.append(only) or read(self, only))
+    overwrite_where(table, rows.where("id = 3").withColumn("id", rows["id"] + 100), scope)
+    assert [sorted(a) for a in asked if a] == [["2024-02-01"]] and None not in asked
+    monkeypatch.undo()
+    assert sorted(r["id"] for r in table.read().collect()) == [0, 1, 5, 103]
+    kept = {f for f in table._state()[0] if f in before}
+    assert {f.rsplit("=")[-1] for f in kept} == {"2024-01-01", "__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_a_scope_that_ends_at_a_partition_reads_nothing(spark, tmp_path):
+    from datetime import date
+
+    from headway.operators.replace_window import from_day, overwrite_where, split_partitions
+    from headway.sources.layer import LayerTable, Partitioning
+
+    table = LayerTable(spark, f"{tmp_path}/facts", Partitioning("service_date"))
+    rows = spark.sql("SELECT id, DATE_ADD(DATE'2024-01-01', CAST(id AS INT)) AS service_date FROM range(4)")
+    table.overwrite(rows)
+    assert split_partitions(table, from_day(date(2024, 1, 3))) == ({"2024-01-03", "2024-01-04"}, set())
+    overwrite_where(table, rows.where("id = 2"), from_day(date(2024, 1, 3)))
+    assert sorted(r["id"] for r in table.read().collect()) == [0, 1, 2]

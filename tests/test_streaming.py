@@ -44,13 +44,12 @@ def test_second_poll_sends_what_changed_since_the_first(spark, tmp_path):
     _poll(spark, root, NOON, report=lambda epoch, counts: reports.append((epoch, counts)))
     assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1")]
 
-    # The feed repeats v1 and adds v2; a new process continues from the checkpoint. v1 was the
-    # latest change seen, so it lies within the overlap and is sent once more.
+    # The feed repeats v1 and adds v2; a new process continues from the checkpoint.
     _land(root, "vehicles", "b", [_vehicle("v1", NOON - timedelta(hours=1)), _vehicle("v2", NOON + timedelta(hours=1))])
     _poll(spark, root, NOON + timedelta(hours=2), report=lambda epoch, counts: reports.append((epoch, counts)))
-    assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1"), (1, "vehicles", "v1"), (1, "vehicles", "v2")]
+    assert _sent(spark, root) == [(0, "alerts", "a1"), (0, "vehicles", "v1"), (1, "vehicles", "v2")]
     assert [e for e, _ in reports] == [0, 1]
-    assert (reports[1][1]["vehicles_fetched"], reports[1][1]["vehicles_sent"]) == (2, 2)
+    assert (reports[1][1]["vehicles_fetched"], reports[1][1]["vehicles_sent"]) == (2, 1)
 
     # v2 is the latest now; v1 lies before the cutoff and stays out.
     _land(root, "vehicles", "c", [_vehicle("v1", NOON - timedelta(hours=1))])
@@ -139,3 +138,97 @@ def test_streamed_messages_equal_the_batch(spark, tmp_path):
     batch = live.poll_messages(static, {}, "now").collect()
     assert sorted(spark.table("streamed").collect()) == sorted(batch)
     assert spark.table("streamed").select(F.countDistinct("key")).first()[0] == 12
+
+
+def test_quiet_feed_sends_each_change_once(spark, tmp_path):
+    """Five polls of a feed that repeats its state; one record of the latest second lands late."""
+    root = str(tmp_path)
+    feed = [_vehicle("v1", NOON), _vehicle("v2", NOON), {"id": "undated", "attributes": {}}]
+    for n in range(5):
+        if n == 2:
+            feed += [_vehicle("v3", NOON), _vehicle("v1", NOON + timedelta(milliseconds=300))]
+        _land(root, "vehicles", f"f{n}", feed)
+        _poll(spark, root, NOON + timedelta(minutes=n))
+    dated = [row for row in _sent(spark, root) if row[2] != "undated"]
+    assert dated == [(0, "vehicles", "v1"), (0, "vehicles", "v2"), (2, "vehicles", "v1"), (2, "vehicles", "v3")]
+    assert len(_sent(spark, root)) == 9
+
+
+def test_what_is_remembered_stays_small(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        _land(root, "vehicles", f"f{n}", [_vehicle(f"v{n}{k}", NOON + timedelta(minutes=n)) for k in range(4)])
+        _poll(spark, root, NOON + timedelta(hours=1))
+    state = PollState(spark, f"{root}/state")
+    assert sorted(r["id"] for r in state.known(99).collect()) == [f"v2{k}" for k in range(4)]
+    assert len(list((tmp_path / "state" / "known").glob("epoch=*"))) == 2
+
+
+def test_changes_stamped_in_the_future_are_sent_once(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        _land(root, "vehicles", f"f{n}", [_vehicle("ahead", NOON + timedelta(days=9)), _vehicle(f"v{n}", NOON + timedelta(minutes=n))])
+        _poll(spark, root, NOON + timedelta(minutes=n))
+    assert [row for row in _sent(spark, root) if row[2] == "ahead"] == [(0, "vehicles", "ahead")]
+
+
+def _alert(id_, updated):
+    return {"id": id_, "type": "alert", "attributes": {"updated_at": updated.isoformat()}}
+
+
+def test_a_failing_topic_keeps_its_cutoff_and_the_others_go_on(spark, tmp_path):
+    root, reports = str(tmp_path), []
+    healthy = file_sink(f"{root}/out")
+
+    def alerts_down(messages, epoch):
+        if messages.first()["topic"] == "alerts":
+            raise OSError("topic gone")
+        healthy(messages, epoch)
+
+    def land(n):
+        _land(root, "vehicles", f"v{n}", [_vehicle(f"v{n}", NOON + timedelta(minutes=n))])
+        _land(root, "alerts", f"a{n}", [_alert(f"a{k}", NOON + timedelta(minutes=k)) for k in range(n + 1)])
+
+    land(0)
+    _poll(spark, root, NOON + timedelta(hours=1))
+    for n in (1, 2):
+        land(n)
+        _poll(spark, root, NOON + timedelta(hours=1), sink=alerts_down, report=lambda _, counts: reports.append(counts))
+    assert _sent(spark, root) == [(0, "alerts", "a0"), (0, "vehicles", "v0"), (1, "vehicles", "v1"), (2, "vehicles", "v2")]
+    assert [r["alerts_failed"] for r in reports] == ["topic gone"] * 2 and "vehicles_failed" not in reports[0]
+    state = PollState(spark, f"{root}/state")
+    assert state.before(9)["alerts"] == NOON - timedelta(seconds=1) and state.before(9)["vehicles"] > NOON
+    assert sorted(r["key"] for r in state.pending(9).collect()) == ["a1", "a2"]
+
+    # The topic is back: its messages go out, in a poll that brings nothing new.
+    _land(root, "vehicles", "again", [_vehicle("v2", NOON + timedelta(minutes=2))])
+    _poll(spark, root, NOON + timedelta(hours=1))
+    assert [row for row in _sent(spark, root) if row[0] == 3] == [(3, "alerts", "a1"), (3, "alerts", "a2")]
+    assert state.pending(9).count() == 0 and state.before(9)["alerts"] == NOON - timedelta(seconds=1)
+
+
+def test_a_repeated_epoch_counts_once(spark, tmp_path):
+    root = str(tmp_path)
+    _land(root, "vehicles", "a", [_vehicle("v1", NOON), _vehicle("v2", NOON - timedelta(hours=1))])
+    (tmp_path / "in" / "endpoint=vehicles" / "b.json").write_text("nonsense\n")
+    with pytest.raises(Exception, match="down"):
+        def down(_messages, _epoch):
+            raise OSError("down")
+
+        _poll(spark, root, NOON, sink=down)
+    _poll(spark, root, NOON)
+    state = PollState(spark, f"{root}/state")
+    assert [tuple(r) for r in state.counters().collect()] == [("vehicles", None, 2, 2, 0, 1, 0)]
+    assert [tuple(r) for r in state.dead_letters().collect()] == [("vehicles", "no JSON object", "nonsense", 0)]
+
+
+def test_routes_are_read_anew_in_every_poll(spark, tmp_path):
+    def prediction(id_, route):
+        return {"id": id_, "attributes": {}, "relationships": {"route": {"data": {"id": route}}}}
+
+    root, wanted = str(tmp_path), ["Red"]
+    for n in range(2):
+        _land(root, "predictions", f"p{n}", [prediction(f"r{n}", "Red"), prediction(f"b{n}", "Blue")])
+        _poll(spark, root, NOON, routes=lambda: spark.createDataFrame([(w,) for w in wanted], "route string"))
+        wanted[:] = ["Blue"]
+    assert _sent(spark, root) == [(0, "predictions", "r0"), (1, "predictions", "b1")]

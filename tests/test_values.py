@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.functions import batch_ids
-from headway.functions.jsonapi import page_items, related_id, related_ids
+from headway.functions.jsonapi import related_id, related_ids
+from headway.operators.live import landed_records
 from headway.functions.values import first_filled, instant_of, row_digest
 from headway.operators.shape import cast_columns, split_directions, stamp
 from headway.sources.state import load_batch_id, save_batch_id
@@ -92,8 +93,8 @@ def test_related_ids_by_shape(spark):
 def test_pages_hold_a_list_an_object_or_nothing(spark):
     pages = ['{"data":[{"id":"a"},{"id":"b"}]}', '{"data":{"id":"c"}}', '{"data":null}', "{}", '{"data":[]}', "junk"]
     rows = spark.createDataFrame([(p,) for p in pages], "p string")
-    got = [[i["id"] for i in r[0]] for r in rows.select(page_items(F.col("p"), "struct<id:string>")).collect()]
-    assert got == [["a", "b"], ["c"], [], [], [], []]
+    got = [r["record"] for r in landed_records(rows, "p").collect()]
+    assert got == ['{"id":"a"}', '{"id":"b"}', '{"id":"c"}', "junk"]
 
 
 def test_direction_arrays_of_any_length(spark):

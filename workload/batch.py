@@ -6,23 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.batch_ids import batch_id_in, batch_id_of, day_parts, window_start
-from headway.operators.live import split_pages
-from headway.operators.replace_window import replace_where
+from headway.operators.live import landed_records, parse
+from headway.operators.replace_window import from_day_by_month, overwrite_where, replace_where
 from headway.operators.shape import cast_columns, clean, flatten_documents, in_batch, stamp
 from headway.operators.trip_facts import (
     on_or_after,
     rollup_schedules,
     trip_facts,
     trips_with_patterns,
+    with_duration,
     with_routes,
     with_trips,
 )
 from headway.operators.upsert import upsert
+from headway.plans.layers import Lake
+from headway.plans.rollup import merge_schedules, rebuild
 from headway.plans.snapshots import bronze_rows, gold_window, silver_rows
 from headway.schemas import ROUTE_PATTERNS, ROUTES, SCHEDULES, STOPS, TRIPS, Entity
 from headway.sources.files import Staging, fresh_folder
 from headway.sources.landing import parse_documents, read_batch, write_documents, write_grouped
-from headway.sources.layer import LayerTable, key_buckets
+from headway.sources.layer import LayerTable, Partitioning, key_buckets
+from headway.sources.state import load_batch_id, save_batch_id
 from workload import fixtures as X
 
 NEW_KEY = 1_000_000_000
@@ -60,7 +64,20 @@ def page_concat(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit('{"links":{}}'))
     )
     pages = X.table(spark, folder, "events").select(key.alias("page_id"), page.alias("page"))
-    return split_pages(pages, "struct<id:string>").select("page_id", F.col("item.id").alias("record_id"))
+    # The poll's own reading of landed lines.
+    records = parse(landed_records(pages, "page").withColumn("endpoint", F.lit("vehicles")))
+    return records.select("page_id", F.col("id").alias("record_id"))
+
+
+def batch_marker(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches land, each after its marker; the marker read back says which one to read."""
+    root = fresh_folder(spark, "marker")
+    for batch_id, half in ((X.BATCH_1, 0), (X.BATCH_2, 1)):
+        save_batch_id(spark, root, batch_id)
+        flat = X.trips(spark, folder).where(F.col("wheelchair_accessible") % 2 == half).withColumn("group", X.trip_group())
+        write_grouped(X.documents(flat, TRIPS, "group"), root, "trips", load_batch_id(spark, root))
+    documents = read_batch(spark, root, TRIPS, load_batch_id(spark, root), lines=True)
+    return flatten_documents(documents, TRIPS).select("id", "wheelchair_accessible", "source_file")
 
 
 def batch_id_parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,6 +343,42 @@ def gold_replace_where(spark, folder):
     return X.plain(replace_where(stored, _window(spark, folder), on_or_after(window_start(X.GOLD_BATCH))))
 
 
+def gold_overwrite_where(spark, folder):
+    """The stored table, by month, counts one stop too many; an overwrite that cuts through a month puts its days right."""
+    month = F.trunc("service_date", "month").alias("service_month")
+    facts = _facts(spark, folder).select("*", month)
+    table = LayerTable(spark, fresh_folder(spark, "facts"), Partitioning("service_month"))
+    table.overwrite(facts.withColumn("num_stops", F.col("num_stops") + 1))
+    first_day = window_start(X.GOLD_BATCH)
+    overwrite_where(table, facts.where(on_or_after(first_day)), from_day_by_month(first_day))
+    return X.plain(table.read().drop("service_month"))
+
+
+def gold_rollup_batches(spark, folder):
+    """Totals after three batches that add stops, move first departures both ways and move stops to another trip."""
+    lake = Lake(spark, fresh_folder(spark, "rollup"), key_bucket_count=4)
+    stops = X.keyed_schedules(spark, folder)
+    line = F.col("line")
+    second = stops.where(line.isin(3, 4, 5)).withColumns(
+        {
+            "departure_time": F.when(line == 3, F.col("departure_time") - F.expr("interval 2 days")).otherwise(F.col("departure_time")),
+            "direction_id": F.when(line == 4, 1 - F.col("direction_id")).otherwise(F.col("direction_id")),
+        }
+    )
+    third = stops.where(line.isin(1, 5, 6, 7)).withColumn(
+        "departure_time",
+        F.when(line == 1, F.col("departure_time") + F.expr("interval 30 days")).otherwise(F.col("departure_time")),
+    )
+    for batch in (stops.where(line <= 4), second, third):
+        rows = stamp(batch.drop("line"), X.RUN_1, digest=True)
+        if lake.silver(SCHEDULES).version():
+            merge_schedules(lake, rows)
+        else:
+            lake.silver(SCHEDULES).overwrite(rows)
+            rebuild(lake)
+    return X.plain(with_duration(lake.trip_totals.read()))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -334,6 +387,7 @@ QUERIES = {
         page_concat,
         batch_id_parts,
         batch_filter,
+        batch_marker,
         bronze_routes,
         bronze_route_patterns,
         bronze_stops,
@@ -360,5 +414,7 @@ QUERIES = {
         trips_metrics_audited,
         gold_incremental,
         gold_replace_where,
+        gold_overwrite_where,
+        gold_rollup_batches,
     )
 }

@@ -28,6 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """``rows`` dealt over all cores if their ``scan`` has fewer splits: making and parsing JSON is the work here.
+
+    Small test tables are one file of one row group; larger ones are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    splits = (rows if scan is None else scan).rdd.getNumPartitions()
+    return rows if splits >= cores else rows.repartition(cores)
+
+
 def text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -120,7 +130,7 @@ def _trip_direction(key: Column) -> Column:
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
+    return spread(table(spark, folder, "orders")).select(
         _trip_id(key).alias("id"),
         (key % 3).alias("bikes_allowed"),
         F.when(key % 13 != 0, F.concat(F.lit("B"), text(key % 1000))).alias("block_id"),
@@ -150,16 +160,27 @@ def _stop_times(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _schedule_id() -> Column:
+    return F.concat_ws("-", *[text(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey")])
+
+
+def keyed_schedules(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver-typed schedules with their id and ``line`` number."""
+    unique = F.concat_ws("-", _schedule_id(), text("l_shipdate"))
+    return silver_schedules(spark, folder, unique.alias("id"), F.col("l_linenumber").alias("line"))
+
+
 def schedules(spark: SparkSession, folder: str) -> DataFrame:
     """Times as landed: ISO text with a -05:00 offset."""
     key, line = F.col("o_orderkey"), F.col("l_linenumber").cast("bigint")
+    rows = spread(_stop_times(spark, folder), table(spark, folder, "lineitem"))
 
     def local(seconds: str) -> Column:
         shown = F.date_format(F.timestamp_seconds(F.col(seconds)), "yyyy-MM-dd'T'HH:mm:ss")
         return F.concat(shown, F.lit("-05:00"))
 
-    return _stop_times(spark, folder).select(
-        F.concat_ws("-", *[text(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey")]).alias("id"),
+    return rows.select(
+        _schedule_id().alias("id"),
         local("arrives").alias("arrival_time"),
         local("departs").alias("departure_time"),
         _trip_direction(key).alias("direction_id"),
@@ -183,8 +204,9 @@ def trip_group(shape_id: str = "shape_id") -> Column:
 # -- silver-typed forms for the gold queries ------------------------------
 
 
-def silver_schedules(spark: SparkSession, folder: str) -> DataFrame:
+def silver_schedules(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
     return _stop_times(spark, folder).select(
+        *extra,
         F.timestamp_seconds("arrives").alias("arrival_time"),
         F.timestamp_seconds("departs").alias("departure_time"),
         _trip_direction(F.col("o_orderkey")).cast("int").alias("direction_id"),
@@ -225,7 +247,7 @@ def _iso(instant: Column) -> Column:
 
 def live_records(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """One JSON:API record text per event: ``endpoint, record``."""
-    events = table(spark, folder, "events") if events is None else events
+    events = spread(table(spark, folder, "events")) if events is None else events
     key, user = F.col("event_id"), text("user_id")
     ts = F.col("ts").cast("timestamp")
     route = F.get_json_object("props", "$.k")

@@ -367,6 +367,19 @@ SELECT endpoint AS topic, record_id AS key, 'transit-v3' AS source, '/' || endpo
 FROM wanted WHERE {where}"""
 
 
+# A feed stamped by the day: poll k holds the events whose id leaves at most k, divided by 3.
+_DAILY = f"""WITH events AS (SELECT * REPLACE (CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts) FROM main.events), {LIVE},
+polls AS (SELECT unnest([0, 1, 2]) AS poll),
+cuts AS (
+  SELECT poll, endpoint, max(ts) - INTERVAL 1 SECOND AS cut FROM polls JOIN wanted ON event_id % 3 < poll
+  WHERE dated GROUP BY poll, endpoint),
+seen AS (
+  SELECT p.poll, w.*, (NOT w.dated OR c.cut IS NULL OR (w.ts > c.cut AND w.event_id % 3 = p.poll)) AS news
+  FROM polls p JOIN wanted w ON w.event_id % 3 <= p.poll
+  LEFT JOIN cuts c ON c.poll = p.poll AND c.endpoint = w.endpoint)"""
+_EVENT = "CAST(event_id AS VARCHAR)"
+
+
 def statements() -> dict[str, str]:
     return {
         "landing_scan": _landed(STOPS, "stops", f"'stops_{BATCH_1}.json'"),
@@ -419,6 +432,17 @@ SELECT *, {RUN_2} AS created_ts, {RUN_2} AS updated_ts FROM facts WHERE service_
 SELECT * REPLACE (CASE WHEN service_date >= DATE '1998-12-31' THEN num_stops ELSE num_stops + 1 END AS num_stops),
   CASE WHEN service_date >= DATE '1998-12-31' THEN {RUN_2} END AS created_ts,
   CASE WHEN service_date >= DATE '1998-12-31' THEN {RUN_2} END AS updated_ts FROM facts""",
+        "gold_overwrite_where": f"""WITH {FACTS}
+SELECT * REPLACE (CASE WHEN service_date >= DATE '1998-12-31' THEN num_stops ELSE num_stops + 1 END AS num_stops)
+FROM facts""",
+        "gold_rollup_batches": f"""WITH {SCHEDULES.replace('schedules AS', 'landed AS', 1)},
+schedules AS (SELECT * REPLACE (
+    CASE stop_sequence WHEN 1 THEN departure_time + INTERVAL 30 DAY WHEN 3 THEN departure_time - INTERVAL 2 DAY
+      ELSE departure_time END AS departure_time,
+    CASE WHEN stop_sequence = 4 THEN 1 - direction_id ELSE direction_id END AS direction_id) FROM landed),
+{ROLLUP} SELECT * FROM rollup_rows""",
+        "batch_marker": f"""WITH {TRIPS} SELECT id, wheelchair_accessible,
+  'trips_' || line || '_{BATCH_2}.json' AS source_file FROM trips WHERE wheelchair_accessible = 1""",
         "route_filter": f"WITH {LIVE} {_SEEN}",
         "incremental_filter": f"WITH {LIVE} {_SEEN} WHERE endpoint = 'predictions' OR {_NEWS}",
         "full_backfill": f"WITH {LIVE} {_SEEN}",
@@ -455,6 +479,26 @@ FROM live""",
 FROM wanted GROUP BY endpoint, filter_route""",
         "stream_envelope": _messages("TRUE"),
         "stream_incremental": f"""WITH {LIVE}
-SELECT 0 AS poll, endpoint AS topic, record_id AS key, filter_route FROM wanted
+SELECT 0 AS poll, endpoint AS topic, record_id AS key, filter_route FROM wanted WHERE ts <= {_CUT}
 UNION ALL SELECT 1, endpoint, record_id, filter_route FROM wanted WHERE {_NEWS}""",
+        "stream_boundary": f"{_DAILY} SELECT poll, endpoint AS topic, record_id AS key FROM seen WHERE news",
+        "poll_run_counters": f"""{_DAILY} SELECT poll, endpoint, filter_route, count(*) AS fetched,
+  count(*) FILTER (WHERE news) AS sent, count(*) FILTER (WHERE NOT news) AS filtered_out, CAST(0 AS BIGINT) AS rejected
+FROM seen GROUP BY poll, endpoint, filter_route""",
+        "dead_letters": f"""SELECT 'vehicles' AS endpoint,
+  CASE WHEN event_id % 6 = 1 THEN 'no id' ELSE 'no JSON object' END AS reason,
+  CASE event_id % 6 WHEN 0 THEN '{{"id":"' || {_EVENT} || '","attrib'
+    WHEN 1 THEN '{{"type":"vehicle","attributes":{{"label":"' || {_EVENT} || '"}}}}'
+    WHEN 2 THEN '[' || {_EVENT} || ']' WHEN 3 THEN 'line ' || {_EVENT} ELSE {_EVENT} END AS text
+FROM events WHERE event_id % 6 <> 5""",
+        "undeclared_values": f"""WITH kinds AS (SELECT *, event_type IN ('click', 'view') AS vehicle FROM events)
+SELECT CASE WHEN vehicle THEN 'vehicles' ELSE 'alerts' END AS topic, {_EVENT} AS key,
+  CASE WHEN vehicle THEN CASE event_id % 4 WHEN 0 THEN '7.25' WHEN 1 THEN 'fast ' || {_EVENT} WHEN 2 THEN 'true' END END AS speed,
+  CASE WHEN NOT vehicle THEN CASE event_id % 3 WHEN 0 THEN '3' WHEN 1 THEN '3.5' ELSE 'high' END END AS severity,
+  CASE WHEN NOT vehicle THEN CASE WHEN event_id % 2 = 0 THEN '{{"en":["' || {_EVENT} || '",1]}}' ELSE {_EVENT} END END AS header,
+  vehicle AND event_id % 4 = 3 AS null_speed FROM kinds""",
+        "stream_route_table": f"""WITH {LIVE}, polls AS (SELECT * FROM (VALUES (0, 2), (1, 3)) t(poll, every))
+SELECT poll, endpoint AS topic, record_id AS key, CASE WHEN endpoint = 'predictions' THEN route END AS filter_route
+FROM live, polls WHERE endpoint <> 'predictions' OR route IN (
+  SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % every = 0)""",
     }

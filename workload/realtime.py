@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from workload import fixtures as X
 
 ROUTES = ("9", "58", "84")
 POLLED_AT = "2024-02-01T06:30:00+00:00"
+#: A clock after every event.
+LATE = datetime(2100, 1, 1, tzinfo=timezone.utc)
 CUTOFFS = {"vehicles": X.CUTOFF, "alerts": X.CUTOFF, "predictions": X.CUTOFF}
 # Message fields shown by the envelope queries.
 SHOWN = (
@@ -78,7 +82,8 @@ def envelope(spark, folder):
 
 
 def poll_counters(spark, folder):
-    return live.count_poll(live.filter_routes(_parsed(spark, folder), ROUTES), CUTOFFS)
+    counted = live.count_poll(live.judge(_parsed(spark, folder), CUTOFFS, ROUTES))
+    return counted.select("endpoint", "filter_route", "fetched", "sent", "filtered_out")
 
 
 def stream_envelope(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,11 +108,12 @@ def stream_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Two polls of the whole feed, as records and then as pages: the second sends what changed since the first."""
+    """Two polls, as records of the events so far and then as pages of all: the second sends what changed since the first."""
     root = fresh_folder(spark, "poll")
     state = PollState(spark, f"{root}/state")
     for polled_at in (X.CUTOFF, X.RUN_2):
-        lines = X.live_records(spark, folder)
+        events = X.table(spark, folder, "events").where(F.col("ts") <= F.lit(polled_at).cast("timestamp_ntz"))
+        lines = X.live_records(spark, folder, events)
         if polled_at == X.RUN_2:
             lines = lines.withColumn("record", F.concat(F.lit('{"data":['), "record", F.lit("]}")))
         lines.write.mode("append").partitionBy("endpoint").text(f"{root}/in")
@@ -117,6 +123,94 @@ def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return sent.select("poll", "topic", "key", F.get_json_object("value", "$.filter_route").alias("filter_route"))
 
 
+def _land(lines: DataFrame, root: str) -> None:
+    lines.write.mode("append").partitionBy("endpoint").text(f"{root}/in")
+
+
+def _poll(spark: SparkSession, root: str, routes=ROUTES, clock=LATE, **options) -> PollState:
+    state = PollState(spark, f"{root}/state")
+    body = poll_batch(state, file_sink(f"{root}/out"), routes, clock=lambda: clock, **options)
+    start_poll(read_records(spark, f"{root}/in"), f"{root}/checkpoint", body, once=True).awaitTermination()
+    return state
+
+
+def _sent(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("key string, value string, poll int, topic string").parquet(f"{root}/out")
+
+
+def _three_polls(spark: SparkSession, folder: str) -> tuple[PollState, str]:
+    """A feed stamped by the day that repeats its whole state in every poll, each time with a third more of the events."""
+    root = fresh_folder(spark, "polls")
+    events = X.table(spark, folder, "events").withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    for poll in range(3):
+        _land(X.live_records(spark, folder, events.where(F.col("event_id") % 3 <= poll)), root)
+        state = _poll(spark, root)
+    return state, root
+
+
+def stream_boundary(spark, folder):
+    """What three polls send: each change once, those with the stamp of the cutoff that land late included."""
+    _, root = _three_polls(spark, folder)
+    return _sent(spark, root).select("poll", "topic", "key")
+
+
+def poll_run_counters(spark, folder):
+    """The counters that the job itself keeps of three polls."""
+    state, _ = _three_polls(spark, folder)
+    return state.counters().withColumnRenamed("epoch", "poll")
+
+
+def dead_letters(spark, folder):
+    """Texts that are no records, from the pass that parses the others."""
+    root = fresh_folder(spark, "rejected")
+    key = X.text("event_id")
+    record = F.concat(F.lit('{"id":"'), key, F.lit('"}'))
+    kinds = [
+        F.concat(F.lit('{"id":"'), key, F.lit('","attrib')),
+        F.concat(F.lit('{"type":"vehicle","attributes":{"label":"'), key, F.lit('"}}')),
+        F.concat(F.lit("["), key, F.lit("]")),
+        F.concat(F.lit("line "), key),
+        F.concat(F.lit('{"data":['), record, F.lit(","), key, F.lit("]}")),
+    ]
+    line = record
+    for number, kind in enumerate(kinds):
+        line = F.when(F.col("event_id") % 6 == number, kind).otherwise(line)
+    _land(X.table(spark, folder, "events").select(line.alias("value"), F.lit("vehicles").alias("endpoint")), root)
+    return _poll(spark, root).dead_letters().select("endpoint", "reason", "text")
+
+
+def undeclared_values(spark, folder):
+    """Attributes of other types than declared, and present nulls, reach the message as they came."""
+    key = X.text("event_id")
+    speed = (
+        F.when(F.col("event_id") % 4 == 0, F.lit("7.25"))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit('"fast '), key, F.lit('"')))
+        .when(F.col("event_id") % 4 == 2, F.lit("true"))
+        .otherwise(F.lit("null"))
+    )
+    severity = F.when(F.col("event_id") % 3 == 0, F.lit("3")).when(F.col("event_id") % 3 == 1, F.lit("3.5")).otherwise(F.lit('"high"'))
+    header = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"en":["'), key, F.lit('",1]}'))).otherwise(F.concat(F.lit('"'), key, F.lit('"')))
+    vehicle = F.concat(F.lit('{"id":"'), key, F.lit('","attributes":{"speed":'), speed, F.lit("}}"))
+    alert = F.concat(F.lit('{"id":"'), key, F.lit('","attributes":{"severity":'), severity, F.lit(',"header":'), header, F.lit("}}"))
+    is_vehicle = F.col("event_type").isin("click", "view")
+    rows = X.table(spark, folder, "events").select(
+        F.when(is_vehicle, "vehicles").otherwise("alerts").alias("endpoint"), F.when(is_vehicle, vehicle).otherwise(alert).alias("record")
+    )
+    messages = live.poll_messages(live.parse(rows), {}, POLLED_AT)
+    shown = [F.get_json_object("value", f"$.{name}").alias(name) for name in ("speed", "severity", "header")]
+    return messages.select("topic", "key", *shown, F.col("value").contains('"speed":null').alias("null_speed"))
+
+
+def stream_route_table(spark, folder):
+    """Predictions of the routes in a table that another one replaces between two polls."""
+    root = fresh_folder(spark, "routes")
+    wanted = X.table(spark, folder, "customer").select("c_custkey")
+    for every in (2, 3):
+        _land(X.live_records(spark, folder), root)
+        _poll(spark, root, lambda: wanted.where(F.col("c_custkey") % every == 0), full_backfill=True)
+    return _sent(spark, root).select("poll", "topic", "key", F.get_json_object("value", "$.filter_route").alias("filter_route"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -131,5 +225,10 @@ QUERIES = {
         poll_counters,
         stream_envelope,
         stream_incremental,
+        stream_boundary,
+        poll_run_counters,
+        dead_letters,
+        undeclared_values,
+        stream_route_table,
     )
 }
