@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.kernels import Words, find, rows_of, slices, utf8
+from headway.llm.kernels import SLICE_BYTES, Words, find, rows_of, slices, utf8
 from headway.llm.staging import bounded_batches, staged
 
 DISCOUNT = 0.75
@@ -39,6 +39,8 @@ MODEL_ENTRIES = 1 << 18
 CALIBRATION_ROWS = 20_000
 BROADCAST_LABELS = 1_000_000
 STRONG = 1.5
+#: Text bytes scored at a time: a score needs some twenty numbers a word.
+SCORED_BYTES = 1 << 19
 THRESHOLD = 0.3
 #: A word is a run of letters and digits, any byte beyond ASCII included, in lower case.
 SEPARATORS = tuple(b for b in range(128) if not chr(b).isalnum())
@@ -51,11 +53,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _pairs(batch: pa.RecordBatch, text: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs(
+    batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For each slice: first row, bounds of rows, row of each word, and pair keys (context above, word below)."""
     words = Words(SEPARATORS, lower=True)
     data, bounds = utf8(batch.column(text))
-    for first, last in slices(bounds):
+    for first, last in slices(bounds, limit):
         own = bounds[first : last + 1] - bounds[first]
         part = data[bounds[first] : bounds[last]]
         starts, ends = words.bounds(part, own)
@@ -171,7 +175,7 @@ class Models:
         """Per text: mean evidence, log of the strong evidence, and the two by length."""
         out = np.zeros((batch.num_rows, 4))
         labels = None if label is None else batch.column(label).to_numpy(zero_copy_only=False)
-        for first, last, rows, keys in _pairs(batch, text):
+        for first, last, rows, keys in _pairs(batch, text, SCORED_BYTES):
             if len(keys):
                 found = self.evidence(rows, keys, None if labels is None else labels[first + rows])
                 n = np.maximum(np.bincount(rows, minlength=last - first), 1)
