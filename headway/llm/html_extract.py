@@ -1,275 +1,252 @@
-"""Main text of pages by wrapper induction over pages of one host.
-
-Each host's reference pages are drawn by hash. A page's tree is aligned with each
-reference's by simple tree matching: roots must carry the same tag and class, and
-the children's best order-keeping matching is found by dynamic programming, runs
-of like siblings counting as one node. Text that stands the same in the aligned
-nodes of several references is template; what varies is content. An ``article`` or
-``main`` element is one slot: if any of it varies, all of it is content, lines that
-other pages have too included, and nothing outside is. Elements whose tag, role or class
-says what they are (menus, headers, footers, side bars, notices, adverts, forms,
-comments, scripts) never hold content.
-
-Pages of a host meet its references in a shuffle, sorted so that references come
-first; a host with many pages is dealt over several keys with its references
-copied to each. Null html gives an empty text; a null url is a host of its own.
+"""Main text of pages by wrapper induction over all pages of a host.
+
+Every page becomes a tree of its block elements, like siblings taken as one node.
+Spark counts, over all pages of a host, in how many different pages each node
+stands, how much text it holds, and which texts it repeats (pages whose longest
+text is the same are copies and count once). Two things follow for a host:
+
+- its wrapper: the nodes that at least ``SHARE`` of its pages have (two at least).
+  A node is constant, hence template, if ``CONSTANT`` of its text stands on as many pages;
+  the others vary, a line that some of their texts share included;
+- the content slot: from the root down, the child that holds at least half of the
+  varying text outside links, as long as that text stands in elements further down;
+  so single notices, adverts and footers, even where their text varies, lose
+  against the part of the layout that varies in elements of its own.
+
+A page is aligned with its host's wrapper by simple tree matching (dynamic
+programming over order-keeping matchings of children). A block is content if the
+lowest matched node above it lies in the content slot, and its own node is not
+constant and less than half links on the host. Elements that HTML itself
+defines as something else (``nav``, ``header``, ``footer``, ``aside``, forms and
+their fields, dialogs, scripts, hidden ones and the like) hold no content.
+
+A host with a single different page has nothing to align. There, and on pages
+that hold nothing at all in the content slot, the elements' names decide:
+``article`` or ``main`` if there is one, without elements whose class or id says
+that they are something else.
+
+Evidence travels as hashes. A host's wrapper is bounded: what stands in a share of
+its pages is at most that many times one page's nodes and texts. Wrappers meet
+their pages in a join, by broadcast where they are small, else by host with skew
+handled by adaptive execution. Null html gives an empty text; a null url is a host
+of its own; repeated rows give repeated results; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.html_tree import Layout, Node, matched, text_hash
 from headway.llm.staging import bounded_batches, staged
 
-REFERENCES = 5
-VOTES = 2
-PAGES_PER_KEY = 1_000
+SHARE = 0.3
+CONSTANT = 0.8
+LINKED = 0.5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg"))
-_INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+# Elements and roles that HTML and ARIA define as other than main text.
+_NO_CONTENT = frozenset(
+    "head nav header footer aside form button select input menu dialog script style noscript template iframe svg canvas object textarea".split()
 )
-_CLOSES_P = frozenset(
-    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
-)
-_CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
-_NO_CONTENT = frozenset("head nav header footer aside form button select input menu dialog script style noscript template iframe svg canvas object textarea".split())
 _NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
+#: Class and id words of elements without content; only where a host has no second page.
 _NO_CONTENT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay"
-    r"|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|aside|widget|header|masthead|footer|copyright|legal"
-    r"|comments?|disqus|respond|replies|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search)(?:$|[\s_-])",
-    re.I,
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|overlay"
+    r"|nav\w*|menu|breadcrumbs?|pagination|sidebar|widget|masthead|copyright"
+    r"|comments?|replies|share|social|related|newsletter|subscribe|signup|login|search)(?:$|[\s_-])"
 )
-_SLOT = frozenset(("article", "main"))
+_SLOT = ("article.", "main.")
+EVIDENCE = "host string, path long, parent long, depth int, place int, text long, chars long, links long, page long"
+WRAPPER = "host string, pages long, nodes array<struct<path:long,parent:long,place:int,content:boolean,other:boolean>>"
 
 
-class Node:
-    __slots__ = ("tag", "kind", "skip", "children", "text")
+def _defined_as_other(node: Node) -> bool:
+    a = node.attributes
+    return node.tag in _NO_CONTENT or a.get("role") in _NO_CONTENT_ROLES or "hidden" in a or a.get("aria-hidden") == "true"
 
-    def __init__(self, tag: str, kind: str, skip: bool):
-        self.tag, self.kind, self.skip = tag, kind, skip
-        self.children: list[Node] = []
-        self.text: str | None = None
 
+def _named_as_other(node: Node) -> bool:
+    return _defined_as_other(node) or (node.tag not in ("html", "body") and bool(_NO_CONTENT_NAMES.search(node.kind.partition(".")[2])))
 
-def _element(tag: str, attributes: str) -> Node:
-    found = {}
-    if attributes:
-        for m in _ATTRIBUTE.finditer(attributes):
-            found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").strip().lower())
-    named = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    skip = (
-        tag in _NO_CONTENT
-        or found.get("role") in _NO_CONTENT_ROLES
-        or ("hidden" in found or found.get("aria-hidden") == "true")
-        or bool(named and tag not in ("body", "html", *_SLOT) and _NO_CONTENT_NAMES.search(named))
-    )
-    return Node(tag, f"{tag}.{named}", skip)
-
-
-def parse(source: str) -> Node:
-    """A forgiving tree: missing end tags are supplied, stray ones ignored."""
-    root = Node("#root", "#root", False)
-    stack = [root]
-    at, size = 0, len(source)
-    while at < size:
-        m = _TOKEN.match(source, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            piece = m[0]
-            if piece[0] != "<" or piece == "<":
-                node = Node("#text", "#text", False)
-                node.text = piece
-                stack[-1].children.append(node)
-            continue
-        tag = tag.lower()
-        if m[1]:
-            if any(n.tag == tag for n in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
-            continue
-        if tag in _CLOSES_P and any(n.tag == "p" for n in stack):
-            while stack.pop().tag != "p":
-                pass
-        elif tag in _CLOSED_BY_SAME:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in _CLOSED_BY_SAME[tag]:
-                    break
-                if stack[k].tag == tag or (tag in ("dt", "dd") and stack[k].tag in ("dt", "dd")):
-                    del stack[k:]
-                    break
-        node = _element(tag, m[3])
-        stack[-1].children.append(node)
-        if tag in _RAW:
-            end = re.compile(f"</{tag}\\s*>", re.I).search(source, at)
-            at = end.end() if end else size
-            node.skip = True
-        elif tag not in _VOID and not m[3].rstrip().endswith("/"):
-            stack.append(node)
-    return root
-
-
-class Block:
-    """A stretch of text that no block element or line break divides."""
-
-    __slots__ = ("text", "skip", "slot", "path")
-
-    def __init__(self, text: str, skip: bool, slot: Node | None, path: Node):
-        self.text, self.skip, self.slot, self.path = text, skip, slot, path
-
-
-def blocks(root: Node) -> list[Block]:
-    out: list[Block] = []
-    pending: list[str] = []
-    owner: list = [root, False, None]
-
-    def flush() -> None:
-        text = " ".join(html.unescape("".join(pending)).split())
-        pending.clear()
-        if text:
-            out.append(Block(text, owner[1], owner[2], owner[0]))
-
-    # (node, skip, slot, nearest block element) to open, or None to break the block
-    work: list = [(root, False, None, root)]
-    while work:
-        item = work.pop()
-        if item is None:
-            flush()
-            continue
-        node, skip, slot, block = item
-        if node.text is not None:
-            if not pending or owner[1] != skip:
-                flush()
-                owner[:] = [block, skip, slot]
-            pending.append(node.text)
-            continue
-        if node.tag == "br" or node.tag == "hr":
-            flush()
-            continue
-        inner_skip, inner_slot = skip or node.skip, slot or (node if node.tag in _SLOT else None)
-        inline = node.tag in _INLINE
-        if not inline:
-            flush()
-            work.append(None)
-        for child in reversed(node.children):
-            work.append((child, inner_skip, inner_slot, block if inline else node))
-    flush()
-    return out
-
-
-class Page:
-    """Blocks of a page, and its tree of block elements with runs of like siblings joined."""
-
-    def __init__(self, source: str):
-        root = parse(source)
-        self.blocks = blocks(root)
-        self.texts: dict[int, list[str]] = {}
-        for b in self.blocks:
-            if not b.skip:
-                self.texts.setdefault(id(b.path), []).append(b.text)
-        self.root = root
-        self.tree = self._group([root])
-
-    def _group(self, nodes: list[Node]) -> tuple:
-        """(kind, texts, children groups, size) of like siblings taken together; inner element lists are joined too."""
-        work_children: list[Node] = []
-        texts: list[str] = []
-        for node in nodes:
-            texts += self.texts.get(id(node), ())
-            work_children += [c for c in node.children if c.text is None and not c.skip]
-        groups: list[tuple] = []
-        run: list[Node] = []
-        for child in work_children:
-            if child.tag in _INLINE or child.tag in _VOID:
+
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of each page (``text`` null) and its texts with their nodes."""
+    names = [f.strip().split(" ")[0] for f in EVIDENCE.split(",")]
+    for batch in batches:
+        rows: list[tuple] = []
+        for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if source is None:
                 continue
-            if run and run[-1].kind != child.kind:
-                groups.append(self._group(run))
-                run = []
-            run.append(child)
-        if run:
-            groups.append(self._group(run))
-        return nodes[0].kind, frozenset(texts), groups, 1 + sum(g[3] for g in groups)
-
-    def longest(self) -> str:
-        return max((b.text for b in self.blocks if not b.skip), key=len, default="")
-
-
-def matched(a: tuple, b: tuple) -> tuple[int, set[str]]:
-    """Simple tree matching: the size of the best matching, and the texts equal in matched nodes."""
-    if a[0] != b[0]:
-        return 0, set()
-    constant = set(a[1] & b[1])
-    first, second = a[2], b[2]
-    if not first or not second:
-        return 1, constant
-    pair = {}
-    best = [[0] * (len(second) + 1) for _ in range(len(first) + 1)]
-    for i, x in enumerate(first):
-        for j, y in enumerate(second):
-            here = 0
-            if x[0] == y[0]:
-                pair[i, j] = matched(x, y)
-                here = pair[i, j][0]
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + here)
-    i, j = len(first), len(second)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            constant |= pair[i, j][1]
-    return 1 + best[-1][-1], constant
-
-
-def main_text(source: str, references: list[Page]) -> str:
-    """The page's content blocks, one a line."""
-    page = Page(source)
-    own = page.longest()
-    votes: dict[str, int] = {}
-    for reference in references:
-        if reference.longest() != own:  # a copy's content would count as template
-            for text in matched(page.tree, reference.tree)[1]:
-                votes[text] = votes.get(text, 0) + 1
-    varying = [b for b in page.blocks if not b.skip and votes.get(b.text, 0) < VOTES]
-    slots = {id(b.slot) for b in varying if b.slot is not None}
-    if slots:
-        varying = [b for b in page.blocks if not b.skip and id(b.slot) in slots]
-    return "\n".join(b.text for b in varying)
+            layout = Layout(source, _defined_as_other)
+            paths, page = layout.paths(), layout.signature()
+            for parent, children in enumerate(layout.children):
+                for place, k in enumerate(children):
+                    rows.append((host, paths[k], paths[parent], layout.depths[k], place, None, 0, 0, page))
+            for b in layout.blocks:
+                if not b.hidden:
+                    g = b.group
+                    parent = paths[layout.parents[g]] if g else 0
+                    rows.append((host, paths[g], parent, layout.depths[g], 0, text_hash(b.text), len(b.text), b.links, page))
+        if rows:
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _content_slot(nodes: dict[int, tuple[int, int, int]]) -> int | None:
+    """The wrapper's node that holds the content.
+
+    ``nodes``: path -> (parent, depth, varying unlinked characters of its own blocks).
+    """
+    children: dict[int, list[int]] = {}
+    for path, (parent, _, _) in nodes.items():
+        children.setdefault(parent, []).append(path)
+    below = {path: own for path, (_, _, own) in nodes.items()}
+    for path in sorted(nodes, key=lambda p: -nodes[p][1]):
+        parent = nodes[path][0]
+        if parent in below:
+            below[parent] += below[path]
+    roots = [p for p, (parent, _, _) in nodes.items() if parent not in nodes]
+    at = max(roots, key=lambda p: (below[p], -p), default=None)
+    while at is not None:
+        # Only children that hold blocks in elements of their own can be slots; single elements are their items.
+        inner = [c for c in children.get(at, ()) if any(below[g] for g in children.get(c, ()))]
+        best = max(inner, key=lambda p: (below[p], -p), default=None)
+        if best is None or not below[best] or 2 * below[best] < sum(below[c] for c in inner):
+            return at
+        at = best
+    return None
+
+
+def _wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From each host's counted nodes, its wrapper with the content slot marked."""
+    kinds = [("path", pa.int64()), ("parent", pa.int64()), ("place", pa.int32()), ("content", pa.bool_()), ("other", pa.bool_())]
+    schema = pa.schema([("host", pa.string()), ("pages", pa.int64()), ("nodes", pa.list_(pa.struct(kinds)))])
+    for batch in batches:
+        out: list[tuple] = []
+        for host, pages, nodes in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            found = {n["path"]: (n["parent"], n["depth"], n["varying"]) for n in nodes or ()}
+            slot = _content_slot(found)
+            inside = set()
+            for path in sorted(found, key=lambda p: found[p][1]):
+                if path == slot or found[path][0] in inside:
+                    inside.add(path)
+            out.append((host, pages, [{k: n.get(k, n["path"] in inside) for k, _ in kinds} for n in nodes or ()]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """One row per host with several different pages: its wrapper, from ``host`` and ``html`` of all of them."""
+    found = staged(pages.select("host", "html").mapInArrow(_evidence, EVIDENCE))
+    counts = staged(found.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("pages > 1"))
+    enough = F.col("n") >= F.greatest(F.lit(2), F.ceil(F.col("pages") * F.lit(SHARE)))
+    by_text = (
+        found.where("text IS NOT NULL")
+        .groupBy("host", "path", "text", "page")
+        .agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+        .groupBy("host", "path", "text")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    )
+    constant = F.sum(F.when(enough, F.col("chars")).otherwise(0)) >= CONSTANT * F.sum("chars")
+    volumes = (
+        by_text.join(counts, "host")
+        .groupBy("host", "path")
+        .agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"), constant.alias("constant"))
+        .select(
+            "host",
+            "path",
+            F.when(F.col("constant"), 0).otherwise(F.col("chars") - F.col("links")).alias("varying"),
+            (F.col("constant") | (F.col("links") > LINKED * F.col("chars"))).alias("other"),
+        )
+    )
+    by_node = (
+        found.where("text IS NULL")
+        .groupBy("host", "path", "parent", "depth", "page")
+        .agg(F.min("place").alias("place"))
+        .groupBy("host", "path", "parent", "depth")
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("place").alias("place"))
+        .join(counts, "host")
+        .where(enough)
+    )
+    order = F.row_number().over(Window.partitionBy("host", "parent").orderBy("place", "path")).alias("place")
+    nodes = (
+        by_node.select("host", "path", "parent", "depth", order)
+        .join(volumes, ["host", "path"], "left")
+        .groupBy("host")
+        .agg(
+            F.collect_list(
+                F.struct(
+                    "path",
+                    "parent",
+                    "depth",
+                    "place",
+                    F.coalesce("varying", F.lit(0)).alias("varying"),
+                    F.coalesce("other", F.lit(False)).alias("other"),
+                )
+            ).alias("nodes")
+        )
+    )
+    joined = counts.join(nodes, "host", "left").select("host", "pages", "nodes")
+    return staged(joined.mapInArrow(_wrap, WRAPPER))
+
+
+class Wrapper:
+    """A host's wrapper, ready to align pages with."""
+
+    def __init__(self, nodes: list[dict]):
+        self.nodes = {n["path"]: (n["parent"], n["place"]) for n in nodes}
+        self.content = {n["path"] for n in nodes if n["content"]}
+        self.other = {n["path"] for n in nodes if n["other"]}
+
+    def text(self, source: str) -> str:
+        """The page's blocks in the content slot, a line each."""
+        layout = Layout(source, _defined_as_other)
+        paths = layout.paths()
+        aligned = matched(layout, paths, self.nodes)
+        lowest: list[int] = []  # of each group, the lowest matched group above or at it
+        for k, parent in enumerate(layout.parents):
+            lowest.append(k if k in aligned else lowest[parent])
+        return "\n".join(
+            b.text
+            for b in layout.blocks
+            if not b.hidden
+            and paths[lowest[b.group]] in self.content
+            and paths[b.group] not in self.other
+        )
+
+
+def text_by_names(source: str) -> str:
+    """The blocks of a page that stands alone: by its elements' names."""
+    layout = Layout(source, _named_as_other)
+    inside: list[bool] = []
+    for kind, parent in zip(layout.kinds, layout.parents):
+        inside.append((parent >= 0 and inside[parent]) or kind.startswith(_SLOT))
+    shown = [b for b in layout.blocks if not b.hidden]
+    slot = [b for b in shown if inside[b.group]]
+    return "\n".join(b.text for b in slot or shown)
+
+
+def main_text(source: str, wrapper: Wrapper | None) -> str:
+    """A page's content, a block a line; ``wrapper`` is None where the host has no other page."""
+    return (wrapper.text(source) if wrapper else "") or text_by_names(source)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key, references first: the text of every page."""
-    key, references = None, []
+    held: dict[str, Wrapper | None] = {}
     for batch in batches:
-        host, salt, is_page, sources = (batch.column(i).to_pylist() for i in (0, 1, 2, 5))
-        rows, texts = [], []
-        for row, source in enumerate(sources):
-            if (host[row], salt[row]) != key:
-                key, references = (host[row], salt[row]), []
-            if is_page[row]:
-                rows.append(row)
-                texts.append(main_text(source or "", references))
-            else:  # near copies of a reference would vote twice
-                page = Page(source or "")
-                if all(page.longest() != r.longest() for r in references):
-                    references.append(page)
-        taken = pa.array(rows, pa.int64())
+        texts = []
+        for row, (host, source) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            if host not in held:
+                if len(held) > 500:
+                    held.clear()
+                nodes = batch.column(4)[row].as_py()
+                held[host] = Wrapper(nodes) if nodes else None
+            texts.append(main_text(source or "", held[host]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(3).take(taken), batch.column(4).take(taken), pa.array(texts, pa.string())],
-            names=["page_id", "url", "text"],
+            [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
 
 
@@ -279,32 +256,10 @@ def extract(pages: DataFrame) -> DataFrame:
     own = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
-        F.col("html").alias("html"),
         F.coalesce(F.lower(F.regexp_extract("url", r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit("")).alias("host"),
+        F.col("html").alias("html"),
     )
-    drawn = own.where(F.col("html").isNotNull()).select(
-        "host", F.xxhash64("html").alias("draw"), "page_id"
-    )
-    slots = staged(
-        drawn.groupBy("host", F.pmod("draw", F.lit(REFERENCES)).alias("k"))
-        .agg(F.min(F.struct("draw", "page_id")).alias("drawn"), F.count("*").alias("n"))
-    )
-    keys = slots.groupBy(F.col("host").alias("of")).agg(
-        F.ceil(F.sum("n") / PAGES_PER_KEY).cast("int").alias("keys"), F.collect_list("drawn.page_id").alias("drawn")
-    )
-    keyed = own.join(keys, F.col("host") == F.col("of"), "left")
-    count = F.coalesce("keys", F.lit(1))
-    salted = keyed.select(
-        "host", "page_id", "url", "html",
-        F.pmod(F.xxhash64("page_id"), count).cast("int").alias("own_salt"),
-        F.when(F.array_contains("drawn", F.col("page_id")), F.sequence(F.lit(0), count - 1)).alias("salts"),
-    )
-    as_page = F.array(F.struct(F.lit(True).alias("is_page"), F.col("own_salt").alias("salt")))
-    as_reference = F.transform("salts", lambda s: F.struct(F.lit(False).alias("is_page"), s.cast("int").alias("salt")))
-    rows = salted.withColumn("role", F.explode(F.concat(as_page, F.coalesce(as_reference, F.array().cast("array<struct<is_page:boolean,salt:int>>")))))
-    ready = (
-        rows.select("host", "role.salt", "role.is_page", "page_id", "url", "html")
-        .repartition("host", "salt").sortWithinPartitions("host", "salt", "is_page", "page_id")
-    )
-    texts = ready.mapInArrow(_extract, "page_id long, url string, text string")
+    known = wrappers(own).select(F.col("host").alias("of"), "nodes")
+    met = own.join(known, F.col("host") == F.col("of"), "left")
+    texts = met.select("page_id", "url", "host", "html", "nodes").mapInArrow(_extract, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))
