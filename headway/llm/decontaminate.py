@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.staging import row_key
+from headway.llm.staging import row_key, unused
 
 WIDTH = 5
 PERCENT = 80
@@ -114,8 +114,9 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     The verdict is a row's own, whatever other rows have its id, or a null one.
     """
     keyed = docs.select(row_key().alias("doc_id"), F.col("text").alias("text"))
-    bad = contaminated(keyed, benchmark).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(bad, row_key() == F.col("leaked"), "left_anti")
+    leaked = unused(docs, "leaked")
+    bad = contaminated(keyed, benchmark).select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.join(bad, row_key() == F.col(leaked), "left_anti")
 
 
 ORACLE_SQL = r"""

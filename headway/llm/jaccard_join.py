@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.components import components
 from headway.llm.kernels import Words, find, mixed, rabin_karp, rows_of, signed, slices, utf8
-from headway.llm.staging import bounded_batches, row_key, staged
+from headway.llm.staging import bounded_batches, row_key, staged, unused
 
 WIDTH = 5
 PERCENT = 80
@@ -474,9 +474,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     firm = found.where("n_shingles = 0 or doc_id is null").select("row_key").distinct()
     alike = found.where("n_shingles > 0 and doc_id = component_id").groupBy("component", "row_key").agg(F.count("*").alias("n"))
     first = alike.groupBy("component").agg(F.min(F.struct("row_key", "n")).alias("first")).select("first.row_key", "first.n")
-    kept = docs.join(firm.union(first.select("row_key")).withColumnRenamed("row_key", "stays"), row_key() == F.col("stays")).drop("stays")
-    again = first.where("n > 1").select(F.col("row_key").alias("again"))
+    other = unused(docs, "stays")
+    staying = firm.union(first.select("row_key")).select(F.col("row_key").alias(other))
+    kept = docs.join(staying, row_key() == F.col(other), "left_semi")
+    again = first.where("n > 1").select(F.col("row_key").alias(other))
     if again.isEmpty():
         return kept
-    single = kept.join(again, row_key() == F.col("again"), "left_anti")
-    return single.union(kept.join(again, row_key() == F.col("again"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    single = kept.join(again, row_key() == F.col(other), "left_anti")
+    return single.union(kept.join(again, row_key() == F.col(other), "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -379,7 +379,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data masked in ``text`` and ``n_chars`` counted anew; all rows stay."""
-    field = fit(docs)
+    field = fit(docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text")))
     place = docs.columns.index("text")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

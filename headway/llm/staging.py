@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.sources.files import fresh_folder
+
 ARROW_ROWS = 2000
 ARROW_BYTES = "8m"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
-
-
 def bounded_batches(spark: SparkSession) -> None:
     """Hand Python workers a few MB at a time; the session keeps the setting."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -30,13 +24,21 @@ def row_key() -> Column:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with marks appended until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
     Later uses read the files, so nothing is computed twice and a lost executor
-    loses nothing. The files stay until the folder is cleaned.
+    loses nothing. The files go when the session's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{fresh_folder(spark, 'llm')}/rows"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

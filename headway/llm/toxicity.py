@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.kernels import SLICE_BYTES, Words, find, rows_of, slices, utf8
-from headway.llm.staging import bounded_batches, staged
+from headway.llm.staging import bounded_batches, staged, unused
 
 DISCOUNT = 0.75
 MIN_COUNT = 3
@@ -44,6 +44,7 @@ SCORED_BYTES = 1 << 19
 THRESHOLD = 0.3
 #: A word is a run of letters and digits, any byte beyond ASCII included, in lower case.
 SEPARATORS = tuple(b for b in range(128) if not chr(b).isalnum())
+#: Words are known by 32 bits of their hash: two words in 2**32 that agree there count as one.
 LOW = np.uint64(0xFFFFFFFF)
 WORD, CONTEXT, PAIR = 0, 1, 2
 
@@ -258,15 +259,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Learns from ``docs`` and ``labels``; the result adds ``score`` to doc_id and text of a table."""
+def scorer(docs: DataFrame, labels: DataFrame, name: str = "score") -> Callable[[DataFrame], DataFrame]:
+    """Learns from ``docs`` and ``labels``; the result adds the score as column ``name`` to a table with a text."""
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     training = training_rows(docs, labels)
     models = count_models(training)
     if models is None:
         share = training.agg(F.avg("label")).first()[0] or 0.0
-        return lambda df: df.withColumn("score", F.lit(float(share)))
+        return lambda df: df.withColumn(name, F.lit(float(share)))
     shared = spark.sparkContext.broadcast(vars(models))
     names = ["f0", "f1", "f2", "f3"]
 
@@ -295,10 +296,10 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFram
                 x = own.features(batch, place)
                 z = x @ weights[:-1] + weights[-1]
                 p = pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, p], names=[*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, p], names=[*batch.schema.names, name])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        return df.mapInArrow(add, f"{fields}, score double")
+        return df.mapInArrow(add, f"{fields}, `{name}` double")
 
     return score
 
@@ -316,5 +317,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows predicted toxic; all other rows and columns unchanged."""
-    return scorer(docs, labels)(docs).where(F.col("score") < THRESHOLD).drop("score")
+    """``docs`` without the rows predicted toxic; all other rows and columns unchanged, whatever their names.
+
+    A score of exactly ``THRESHOLD`` counts as toxic; equal texts get equal scores.
+    """
+    score = unused(docs, "score")
+    return scorer(docs, labels, score)(docs).where(F.col(score) < THRESHOLD).drop(score)
