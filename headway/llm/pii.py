@@ -22,8 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -172,13 +173,28 @@ def features(zone: str, start: int, end: int) -> list[str]:
     ]
 
 
+def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping stretches put together, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def candidates(zone: str, cuts: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Candidate segments as atom ranges, none touching what is taken."""
+    """Candidate segments as atom ranges, none touching what is taken (apart from one another, in order)."""
     out = []
+    ends = [b for _, b in taken]
     for i in range(len(cuts)):
         for j in range(i + 1, min(i + MAX_ATOMS, len(cuts)) + 1):
             start, end = cuts[i][0], cuts[j - 1][1]
-            if _plausible(zone[start:end]) and not any(start < b and a < end for a, b in taken):
+            near = bisect_right(ends, start)
+            if near < len(taken) and taken[near][0] < end:
+                break  # so would every longer one
+            if _plausible(zone[start:end]):
                 out.append((i, j))
     return out
 
@@ -255,9 +271,12 @@ class Field:
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
         out: list[Span] = []
+        matches = joined((a, b) for a, b, _ in base)
+        ends, starts = [b for _, b in matches], [a for a, _ in matches]
         for low, high in zones(text):
             zone = text[low:high]
-            taken = [(a - low, b - low) for a, b, _ in base if a < high and b > low]
+            own = matches[bisect_right(ends, low) : bisect_left(starts, high)]
+            taken = [(a - low, b - low) for a, b in own]
             cuts = atoms(zone)
             segments = candidates(zone, cuts, taken)
             if segments:
