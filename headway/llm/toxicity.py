@@ -2,22 +2,29 @@
 
 All labelled training texts are counted: Spark sums word pairs per class, and
 from the distinct pairs the continuation counts that Kneser-Ney backs off to. A
-word's probability in a class is its discounted continuation count there, the
-rest of the mass going to the continuation counts of both classes together, so
-an expression too rare to tell the classes apart says nothing. Pairs that repeat
-among toxic texts are scored as pairs, by the same discounting one order up.
+word's probability in a class is its discounted continuation count there
+(discounts for counts of one, two and more follow from the counts of counts); the
+mass taken goes to the continuation counts of both classes together. Every word
+ever counted is scored, however rare; one never counted says nothing. Pairs seen
+``MIN_COUNT`` times among toxic texts are scored as pairs, by the same
+discounting one order up. Neither rule knows the size of the corpus.
 
 A text's evidence is the difference of its two log-likelihoods per word, and how
-much of it comes from words far likelier in toxic texts. A logistic curve over
-these turns it into a score; it is fitted on at most ``CALIBRATION_ROWS`` labelled
-rows, whose own counts are taken out of the models first.
+much of it comes from words far likelier in toxic texts. Both are sums over the
+text's expressions, held as whole numbers (``UNIT`` to one), so their order is
+irrelevant. The counted expressions are a written table. The ``FREQUENT`` most
+frequent ones are broadcast; occurrences of all others are joined to the table,
+of those only that a bitmap of ``BITMAP_BITS`` lets through (it passes every
+counted expression). The division changes where sums are made, not the sums.
 
-The models are cut to expressions whose counts reach a share of all tokens:
-at most ``MODEL_ENTRIES`` per class and order, which bounds what is broadcast.
+A logistic curve turns the evidence into a score; it is fitted on at most
+``CALIBRATION_ROWS`` labelled rows, drawn by a hash of the id before anything is
+measured, whose own counts are taken out of the models.
 
 Null or empty texts get the score of no evidence. Without labels of both classes
 every score is the share of toxic labels (0 without labels). Of several labels of
-one document the largest counts; null labels don't count.
+one document the largest counts; null labels don't count. A score of exactly
+``THRESHOLD`` counts as toxic; equal texts get equal scores.
 """
 
 from __future__ import annotations
@@ -30,21 +37,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.kernels import SLICE_BYTES, Words, find, rows_of, slices, utf8
+from headway.llm.kernels import SLICE_BYTES, Words, find, mixed, rows_of, slices, utf8
 from headway.llm.staging import bounded_batches, staged, unused
 
 DISCOUNT = 0.75
 MIN_COUNT = 3
-MODEL_ENTRIES = 1 << 18
-CALIBRATION_ROWS = 20_000
-BROADCAST_LABELS = 1_000_000
+#: Expressions broadcast, and bits of the bitmap of all; they bound memory and change no result.
+FREQUENT = 1 << 18
+BITMAP_BITS = 1 << 26
+_BLOCK_BITS = 8 * 4096
+CALIBRATION_ROWS = 8_000
+#: A table of at most so many rows is broadcast to a join; a larger one is shuffled.
+BROADCAST_ROWS = 1_000_000
 STRONG = 1.5
-#: Text bytes scored at a time: a score needs some twenty numbers a word.
+UNIT = 1 << 20
+#: Text bytes scored at a time.
 SCORED_BYTES = 1 << 19
 THRESHOLD = 0.3
 #: A word is a run of letters and digits, any byte beyond ASCII included, in lower case.
 SEPARATORS = tuple(b for b in range(128) if not chr(b).isalnum())
-#: Words are known by 32 bits of their hash: two words in 2**32 that agree there count as one.
+#: A word is known by 64 bits of its hash, the word before it, within its pairs, by 32.
 LOW = np.uint64(0xFFFFFFFF)
 WORD, CONTEXT, PAIR = 0, 1, 2
 
@@ -54,35 +66,37 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _pairs(
-    batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For each slice: first row, bounds of rows, row of each word, and pair keys (context above, word below)."""
+def _words(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each slice: first row, bounds of rows, and row, hash and context of each word (a first word's context is 0)."""
     words = Words(SEPARATORS, lower=True)
     data, bounds = utf8(batch.column(text))
     for first, last in slices(bounds, limit):
         own = bounds[first : last + 1] - bounds[first]
         part = data[bounds[first] : bounds[last]]
         starts, ends = words.bounds(part, own)
-        ids = words.hashes(part, starts, ends) & LOW
+        ids = words.hashes(part, starts, ends)
         rows = rows_of(own, starts)
         context = np.zeros_like(ids)
         if len(ids):
-            context[1:] = np.where(rows[1:] == rows[:-1], ids[:-1], np.uint64(0))
-        yield first, last, rows, (context << np.uint64(32)) | ids
+            context[1:] = np.where(rows[1:] == rows[:-1], ids[:-1] & LOW, np.uint64(0))
+        yield first, last, rows, ids, context
+
+
+def _pair_keys(ids: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mixed(ids ^ mixed(context + np.uint64(1)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pair counts per class, summed within each slice."""
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for first, _, rows, keys in _pairs(batch, 0):
+        for first, _, rows, ids, context in _words(batch, 0):
             bad = toxic[first + rows]
-            unique, place = np.unique(keys, return_inverse=True)
+            unique, at, place = np.unique(_pair_keys(ids, context), return_index=True, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(unique.view(np.int64))]
-                + [pa.array(np.bincount(place[at], minlength=len(unique)).astype(np.int32)) for at in (bad, ~bad)],
-                names=["key", "toxic", "ordinary"],
+                [pa.array(ids[at].view(np.int64)), pa.array(context[at].astype(np.uint32).view(np.int32))]
+                + [pa.array(np.bincount(place[of], minlength=len(unique)).astype(np.int32)) for of in (bad, ~bad)],
+                names=["word", "context", "toxic", "ordinary"],
             )
 
 
@@ -98,151 +112,268 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
+COUNTS = ["toxic", "ordinary", "toxic_types", "ordinary_types", "types"]
+
+
 def _continuations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From summed pairs: per word and per context the tokens and distinct pairs; repeated toxic pairs."""
+    """From summed pairs: per word and per context the tokens and distinct pairs; pairs that repeat among toxic texts."""
     for table in _gathered(batches, 300_000):
-        key = table.column(0).to_numpy().view(np.uint64)
-        toxic, ordinary = (table.column(i).to_numpy().astype(np.float64) for i in (1, 2))
-        for kind, ids in ((WORD, key & LOW), (CONTEXT, key >> np.uint64(32))):
+        word = table.column(0).to_numpy()
+        context = table.column(1).to_numpy()
+        toxic, ordinary = (table.column(i).to_numpy().astype(np.float64) for i in (2, 3))
+        for kind, ids in ((WORD, word), (CONTEXT, context)):
             unique, place = np.unique(ids, return_inverse=True)
             sums = [
                 np.bincount(place, w, len(unique)).astype(np.int64)
-                for w in (toxic, ordinary, toxic > 0, ordinary > 0, np.ones(len(key)))
+                for w in (toxic, ordinary, toxic > 0, ordinary > 0, np.ones(len(ids)))
             ]
-            yield _rows(kind, unique, sums)
+            yield _rows(kind, unique.astype(np.int64), np.zeros(len(unique), np.int32), sums)
         repeated = toxic >= MIN_COUNT
         zeros = np.zeros(int(repeated.sum()), np.int64)
         yield _rows(
-            PAIR, key[repeated], [toxic[repeated].astype(np.int64), ordinary[repeated].astype(np.int64), zeros, zeros, zeros]
+            PAIR,
+            word[repeated],
+            context[repeated],
+            [toxic[repeated].astype(np.int64), ordinary[repeated].astype(np.int64), zeros, zeros, zeros],
         )
 
 
-def _rows(kind: int, key: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
-    names = ["kind", "key", "toxic", "ordinary", "toxic_types", "ordinary_types", "types"]
+def _rows(kind: int, word: np.ndarray, context: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), *map(pa.array, sums)], names=names
+        [pa.array(np.full(len(word), kind, np.int32)), pa.array(word), pa.array(context), *map(pa.array, sums)],
+        names=["kind", "word", "context", *COUNTS],
     )
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of kind, word and context with the key that texts look up: the word's hash, or the pair's."""
+    for batch in batches:
+        pair = batch.column(0).to_numpy() == PAIR
+        word = batch.column(1).to_numpy().view(np.uint64)
+        context = batch.column(2).to_numpy().view(np.uint32).astype(np.uint64)
+        key = np.where(pair, _pair_keys(word, context), word).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
+
+
 @dataclass
-class Models:
-    """Both classes' counts of the expressions that passed the cut, sorted by key."""
-
-    words: dict[str, np.ndarray]
-    contexts: dict[str, np.ndarray]
-    pairs: dict[str, np.ndarray]
-    types: tuple[float, float, float]
-    vocabulary: tuple[float, float]
-
-    def word_probabilities(self, toxic: np.ndarray, ordinary: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
-        backoff = np.maximum(shared, 1) / self.types[2]
-        return [
-            (np.maximum(own - DISCOUNT, 0) + DISCOUNT * distinct * backoff) / total
-            for own, distinct, total in zip((toxic, ordinary), self.vocabulary, self.types)
-        ]
-
-    def evidence(self, rows: np.ndarray, keys: np.ndarray, label: int | None) -> np.ndarray:
-        """log p(word | toxic) - log p(word | ordinary) for the words of a slice.
-
-        ``label`` (per row) takes a training text's own counts out of its class.
-        """
-        word, known = find(self.words["key"], (keys & LOW).view(np.int64))
-        counts = [self.words[c][word].astype(float) for c in ("toxic_types", "ordinary_types", "types")]
-        if label is not None:
-            own = _occurrences(rows, keys & LOW)
-            counts[0] = np.maximum(counts[0] - own * (label == 1), 0)
-            counts[1] = np.maximum(counts[1] - own * (label == 0), 0)
-        p = self.word_probabilities(*counts)
-        out = np.where(known, np.log(p[0] / p[1]), 0.0)
-        pair, repeated = find(self.pairs["key"], keys.view(np.int64))
-        context, placed = find(self.contexts["key"], (keys >> np.uint64(32)).view(np.int64))
-        at = np.flatnonzero(repeated & placed & known)
-        if len(at):
-            q = []
-            for k, name in enumerate(("toxic", "ordinary")):
-                seen = self.pairs[name][pair[at]].astype(float)
-                total = self.contexts[name][context[at]].astype(float)
-                if label is not None:
-                    own = _occurrences(rows, keys)[at] * (label[at] == 1 - k)
-                    seen, total = np.maximum(seen - own, 0), np.maximum(total - own, 0)
-                spare = DISCOUNT * self.contexts[f"{name}_types"][context[at]]
-                total = np.maximum(total, 1)
-                mixed = np.maximum(seen - DISCOUNT, 0) / total + np.minimum(spare / total, 1) * p[k][at]
-                q.append(np.where(seen > 0, mixed, p[k][at]))
-            out[at] = np.log(q[0] / q[1])
+class Totals:
+    """Of each class (toxic, ordinary): continuation counts, discounts for counts 1, 2 and more, and backoff's share; of both: types."""
+
+    counts: tuple[float, float]
+    discounts: tuple[list[float], list[float]]
+    backoff: tuple[float, float]
+    types: float
+
+    def word(self, own: tuple[Column, Column], types: Column) -> list[Column]:
+        """A word's probability in each class."""
+        out = []
+        for seen, total, (one, two, more), share in zip(own, self.counts, self.discounts, self.backoff):
+            less = F.when(seen >= 3, more).when(seen == 2, two).when(seen == 1, one).otherwise(0.0)
+            out.append((seen - less) / total + share * types / self.types)
         return out
 
-    def features(self, batch: pa.RecordBatch, text: int, label: int | None = None) -> np.ndarray:
-        """Per text: mean evidence, log of the strong evidence, and the two by length."""
-        out = np.zeros((batch.num_rows, 4))
-        labels = None if label is None else batch.column(label).to_numpy(zero_copy_only=False)
-        for first, last, rows, keys in _pairs(batch, text, SCORED_BYTES):
-            if len(keys):
-                found = self.evidence(rows, keys, None if labels is None else labels[first + rows])
-                n = np.maximum(np.bincount(rows, minlength=last - first), 1)
-                strong = np.bincount(rows, np.maximum(found - STRONG, 0), last - first)
-                out[first:last, 0] = np.bincount(rows, found, last - first) / n
-                out[first:last, 1] = np.log1p(strong)
-                out[first:last, 2] = np.log1p(100 * strong / n)
-                out[first:last, 3] = np.log1p(n) / 10
-        return out
 
-
-def _occurrences(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """How often each key stands in its own row."""
-    order = np.lexsort((keys, rows))
-    r, k = rows[order], keys[order]
-    new = np.concatenate(([True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])))
-    group = np.cumsum(new) - 1
-    out = np.empty(len(keys))
-    out[order] = np.bincount(group)[group]
-    return out
+def _discounts(n: list[float]) -> list[float]:
+    """Discounts of counts 1, 2 and more, from the numbers of words with counts 1 to 4; where one is missing, ``DISCOUNT``."""
+    if not all(n):
+        return [DISCOUNT] * 3
+    y = n[0] / (n[0] + 2 * n[1])
+    return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), 0.95 * k) for k in (1, 2, 3)]
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic and doc_id of labelled rows outside the held-out fold."""
-    known = (
+def training_labels(labels: DataFrame) -> DataFrame:
+    """id and label (0 or 1) of documents outside the held-out fold."""
+    return (
         labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))
         .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
         .groupBy("id")
         .agg(F.max("label").alias("label"))
     )
-    if known.count() <= BROADCAST_LABELS:
-        known = F.broadcast(known)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def training_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text and label of the documents in ``known``."""
     texts = docs.select(F.col("text").alias("t"), F.col("doc_id").alias("d"))
-    return texts.join(known, F.col("d") == F.col("id")).select("t", "label", "d")
+    return texts.join(_small(known), F.col("d") == F.col("id")).select("t", "label")
 
 
-def count_models(training: DataFrame) -> Models | None:
-    """The models' counts over all training rows; None unless both classes have words."""
+def count_model(training: DataFrame) -> tuple[DataFrame, Totals] | None:
+    """All counted expressions as a written table, and the classes' totals; None unless both classes have words."""
     pairs = (
-        training.select("t", "label")
-        .mapInArrow(_count, "key long, toxic int, ordinary int")
-        .groupBy("key")
+        training.mapInArrow(_count, "word long, context int, toxic int, ordinary int")
+        .groupBy("word", "context")
         .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
     )
-    columns = ["toxic", "ordinary", "toxic_types", "ordinary_types", "types"]
+    fields = "kind int, word long, context int, " + ", ".join(f"{c} long" for c in COUNTS)
     counted = staged(
-        pairs.mapInArrow(_continuations, "kind int, key long, " + ", ".join(f"{c} long" for c in columns))
-        .groupBy("kind", "key")
-        .agg(*(F.sum(c).alias(c) for c in columns))
-    )
-    totals = (
-        counted.where(F.col("kind") == WORD)
-        .agg(*(F.sum(c) for c in columns), F.sum(F.sign("toxic_types")), F.sum(F.sign("ordinary_types")))
-        .first()
+        pairs.mapInArrow(_continuations, fields).groupBy("kind", "word", "context").agg(*(F.sum(c).alias(c) for c in COUNTS))
     )
-    if not totals[0] or not totals[1]:
+    words = counted.where(F.col("kind") == WORD)
+    classes = ("toxic_types", "ordinary_types")
+    sums = [F.sum(c) for c in (*COUNTS[2:], "toxic", "ordinary")]
+    sums += [F.sum((F.col(c) == k).cast("long")) for c in classes for k in (1, 2, 3, 4)]
+    sums += [F.sum((F.col(c) >= 3).cast("long")) for c in classes]
+    found = [float(v or 0) for v in words.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()]
+    if not found[3] or not found[4]:
         return None
-    least = {c: max(MIN_COUNT, -(-totals[i] // MODEL_ENTRIES)) for i, c in enumerate(columns[:2])}
-    enough = F.col("toxic") >= least["toxic"]
-    common = F.col("ordinary") >= 8 * least["ordinary"]
-    kept = counted.where(enough | (common & (F.col("kind") == WORD))).toPandas().sort_values("key")
-    split = [
-        {c: part[c].to_numpy() for c in ["key", *columns]}
-        for part in (kept[kept["kind"] == kind] for kind in (WORD, CONTEXT, PAIR))
-    ]
-    return Models(*split, types=tuple(map(float, totals[2:5])), vocabulary=(float(totals[5]), float(totals[6])))
+    tallies = found[5:9], found[9:13]
+    discounts = tuple(_discounts(n) for n in tallies)
+    backoff = tuple(
+        (d[0] * n[0] + d[1] * n[1] + d[2] * more) / total
+        for d, n, more, total in zip(discounts, tallies, found[13:15], found[:2])
+    )
+    totals = Totals((found[0], found[1]), discounts, backoff, found[2])
+
+    word = words.select("word", *(F.col(c).alias(f"w_{c}") for c in COUNTS[2:]))
+    context = counted.where(F.col("kind") == CONTEXT).select(
+        F.col("word").cast("int").alias("context"), *(F.col(c).alias(f"c_{c}") for c in COUNTS[:4])
+    )
+    of_pair = counted.where(F.col("kind") == PAIR).select("kind", "word", "context", "toxic", "ordinary")
+    none = [F.lit(None).cast("long").alias(f"c_{c}") for c in COUNTS[:4]]
+    columns = ["kind", "word", "context", "toxic", "ordinary"]
+    columns += [f"w_{c}" for c in COUNTS[2:]] + [f"c_{c}" for c in COUNTS[:4]]
+    rows = (
+        of_pair.join(word, "word")
+        .join(context, "context")
+        .select(*columns)
+        .unionByName(words.select(*columns[:5], *(F.col(c).alias(f"w_{c}") for c in COUNTS[2:]), *none))
+    )
+    schema = "key long, kind int, word long, context int, " + ", ".join(f"{c} long" for c in columns[3:])
+    return staged(rows.mapInArrow(_keyed, schema).drop("word", "context")), totals
+
+
+def _evidence(totals: Totals, words: Column, pairs: Column, label: Column) -> tuple[Column, Column]:
+    """What one occurrence of a row of the model adds to a text's evidence and to its strong evidence.
+
+    ``words`` and ``pairs`` are the occurrences of the word and of the pair in the
+    text itself, taken out of class ``label``. A pair stands in place of its word,
+    so it adds the difference.
+    """
+
+    def without(count: Column, own: Column, name: str | None) -> Column:
+        theirs = F.lit(True) if name is None else label == (1 if name == "toxic" else 0)
+        return F.greatest(count - F.when(theirs, own).otherwise(0), F.lit(0))
+
+    classes = ("toxic", "ordinary")
+    types = without(F.col("w_types"), words, None)
+    p = totals.word(tuple(without(F.col(f"w_{c}_types"), words, c) for c in classes), F.greatest(types, F.lit(1)))
+    single = F.when(types > 0, F.log(p[0] / p[1])).otherwise(0.0)
+    q = []
+    for name, below in zip(classes, p):
+        seen = without(F.col(name), pairs, name)
+        total = F.greatest(without(F.col(f"c_{name}"), pairs, name), F.lit(1))
+        spare = F.least(DISCOUNT * F.col(f"c_{name}_types") / total, F.lit(1.0))
+        q.append(F.when(seen > 0, F.greatest(seen - DISCOUNT, F.lit(0.0)) / total + spare * below).otherwise(below))
+    whole = F.when(F.col("kind") == PAIR, F.log(q[0] / q[1])).otherwise(single)
+    is_pair = F.col("kind") == PAIR
+
+    def beyond(x: Column) -> Column:
+        return F.greatest(x - STRONG, F.lit(0.0))
+
+    parts = whole - F.when(is_pair, single).otherwise(0.0), beyond(whole) - F.when(is_pair, beyond(single)).otherwise(0.0)
+    return tuple(F.round(x * UNIT).cast("long") for x in parts)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key = batch.column(0).to_numpy().view(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array((key % np.uint64(BITMAP_BITS)).astype(np.int64) + 1)], names=["place"])
+
+
+def _bitmap(model: DataFrame) -> bytes:
+    """A bit for each key of the model; always ``BITMAP_BITS`` long."""
+    blocks = (
+        model.select("key")
+        .mapInArrow(_places, "place long")
+        .groupBy(F.bitmap_bucket_number("place").alias("block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    out = bytearray(BITMAP_BITS // 8)
+    for r in blocks.toLocalIterator():
+        start = (r["block"] - 1) * _BLOCK_BITS // 8
+        out[start : start + len(r["bits"])] = r["bits"]
+    return bytes(out)
+
+
+def _look_up(batch: pa.RecordBatch, text: int, keys: np.ndarray, adds: np.ndarray, bitmap: np.ndarray) -> list[pa.Array]:
+    """Per text: words, the sums over frequent expressions, and key, occurrences and its word's occurrences of the others."""
+    n, sums = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.int64)
+    rest = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+    for first, last, rows, ids, context in _words(batch, text, SCORED_BYTES):
+        if not len(ids):
+            continue
+        n[first:last] = np.bincount(rows, minlength=last - first)
+        own = _occurrences(rows, ids)
+        row, key, word = np.concatenate((rows, rows)), np.concatenate((ids, _pair_keys(ids, context))), np.concatenate((own, own))
+        place, known = find(keys, key.view(np.int64))
+        for k in (0, 1):
+            np.add.at(sums[k], first + row[known], adds[k][place[known]])
+        at = (key % np.uint64(BITMAP_BITS)).astype(np.int64)
+        left = ~known & (bitmap[at >> 3] >> (at & 7) & 1 == 1)
+        row, key, word = row[left], key[left], word[left]
+        times = _occurrences(row, key)
+        order = np.lexsort((key, row))
+        new = np.concatenate(([True], (np.diff(row[order]) != 0) | (np.diff(key[order].view(np.int64)) != 0)))[: len(order)]
+        kept = order[new]
+        rest.append((first + row[kept], key[kept], times[kept], word[kept]))
+    row, key, times, word = (np.concatenate(x) for x in zip(*rest))
+    bounds = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(bounds, pa.array(x.view(np.int64))) for x in (key, times, word)]
+    return [pa.array(n), pa.array(sums[0]), pa.array(sums[1]), *lists]
+
+
+def _occurrences(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each key stands in its own row."""
+    order = np.lexsort((keys, rows))
+    r, k = rows[order], keys[order]
+    new = np.concatenate(([True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])))[: len(keys)]
+    group = np.cumsum(new) - 1
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.bincount(group)[group] if len(keys) else 0
+    return out
+
+
+def _sums(df: DataFrame, frequent, bitmap, entries: DataFrame, parts: tuple[Column, Column]) -> DataFrame:
+    """``df`` without its first column, the text, and with words, evidence and strong evidence of each row (n, s0, s1).
+
+    ``frequent`` and ``bitmap`` are broadcasts; ``entries`` are the model's other rows and ``parts`` what each adds.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[1:])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, *adds = frequent.value
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        for batch in batches:
+            found = _look_up(batch, 0, keys, adds, bits)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], *found], names=[*batch.schema.names[1:], "n", "a0", "a1", "keys", "times", "own"]
+            )
+
+    lists = ", ".join(f"{c} array<long>" for c in ("keys", "times", "own"))
+    rows = staged(
+        df.mapInArrow(look_up, f"{schema}, n long, a0 long, a1 long, {lists}").withColumn("row", F.monotonically_increasing_id())
+    )
+    label = ["label"] if "label" in df.columns else []
+    others = rows.where(F.size("keys") > 0).select("row", *label, F.inline(F.arrays_zip("keys", "times", "own")))
+    added = (
+        others.join(_small(entries), F.col("keys") == F.col("key"))
+        .select("row", *((F.col("times") * part).alias(f"b{k}") for k, part in enumerate(parts)))
+        .groupBy("row")
+        .agg(F.sum("b0").alias("b0"), F.sum("b1").alias("b1"))
+    )
+    total = [(F.col(f"a{k}") + F.coalesce(f"b{k}", F.lit(0))).alias(f"s{k}") for k in (0, 1)]
+    return rows.join(added, "row", "left").select(*df.columns[1:], "n", *total)
+
+
+def _features() -> list[Column]:
+    """Mean evidence, log of the strong evidence, that by length, and the length."""
+    n, strong = F.greatest(F.col("n"), F.lit(1)), F.greatest(F.col("s1"), F.lit(0)) / UNIT
+    features = F.col("s0") / UNIT / n, F.log1p(strong), F.log1p(100 * strong / n), F.log1p(n.cast("double")) / 10
+    return [F.when(F.col("n") > 0, f).otherwise(0.0).alias(f"f{k}") for k, f in enumerate(features)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -259,55 +390,48 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def scorer(docs: DataFrame, labels: DataFrame, name: str = "score") -> Callable[[DataFrame], DataFrame]:
-    """Learns from ``docs`` and ``labels``; the result adds the score as column ``name`` to a table with a text."""
-    bounded_batches(docs.sparkSession)
+def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Learns from ``docs`` and ``labels``; the result turns a table whose first column is a text into its other columns and ``score``."""
     spark = docs.sparkSession
-    training = training_rows(docs, labels)
-    models = count_models(training)
-    if models is None:
+    bounded_batches(spark)
+    known = training_labels(labels)
+    training = training_rows(docs, known)
+    counted = count_model(training)
+    if counted is None:
         share = training.agg(F.avg("label")).first()[0] or 0.0
-        return lambda df: df.withColumn(name, F.lit(float(share)))
-    shared = spark.sparkContext.broadcast(vars(models))
-    names = ["f0", "f1", "f2", "f3"]
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Models(**shared.value)
-        for batch in batches:
-            x = own.features(batch, 0, 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), *(pa.array(x[:, k]) for k in range(4))], names=["label", "d", *names]
-            )
-
-    sample = (
-        training.mapInArrow(measure, "label int, d long, " + ", ".join(f"{c} double" for c in names))
-        .orderBy(F.xxhash64("d"), *names)
-        .limit(CALIBRATION_ROWS)
-        .toPandas()
-    )
-    weights = _logistic(sample[names].to_numpy(), sample["label"].to_numpy())
+        return lambda df: df.drop(df.columns[0]).withColumn("score", F.lit(float(share)))
+    model, totals = counted
+    zero = F.lit(0)
+    parts = [p.alias(f"d{k}") for k, p in enumerate(_evidence(totals, zero, zero, zero))]
+    entries = model.select("key", (F.col("toxic") + F.col("ordinary")).alias("n"), *parts)
+    top = entries.orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
+    if len(top):
+        n, key = int(top["n"].iloc[-1]), int(top["key"].iloc[-1])
+        entries = entries.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("key") > key)))
+    top = top.sort_values("key")
+    frequent = spark.sparkContext.broadcast([top[c].to_numpy(np.int64) for c in ("key", "d0", "d1")])
+    nothing = spark.sparkContext.broadcast([np.empty(0, np.int64)] * 3)
+    bitmap = spark.sparkContext.broadcast(_bitmap(model))
+
+    drawn = known.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_ROWS)
+    without_own = _evidence(totals, F.col("own"), F.col("times"), F.col("label"))
+    sample = _sums(training_rows(docs, drawn), nothing, bitmap, model, without_own).select("label", *_features()).toPandas()
+    weights = _logistic(sample[[f"f{k}" for k in range(4)]].to_numpy(), sample["label"].to_numpy())
 
     def score(df: DataFrame) -> DataFrame:
-        place = df.columns.index("text")
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = Models(**shared.value)
-            for batch in batches:
-                x = own.features(batch, place)
-                z = x @ weights[:-1] + weights[-1]
-                p = pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, p], names=[*batch.schema.names, name])
-
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        return df.mapInArrow(add, f"{fields}, `{name}` double")
+        sums = _sums(df, frequent, bitmap, entries.drop("n"), (F.col("d0"), F.col("d1")))
+        z = F.lit(float(weights[-1]))
+        for f, w in zip(_features(), weights):
+            z = z + f * float(w)
+        z = F.least(F.greatest(z, F.lit(-500.0)), F.lit(500.0))
+        return sums.select(*df.columns[1:], (1 / (1 + F.exp(-z))).alias("score"))
 
     return score
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``."""
-    narrow = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    scored = scorer(docs, labels)(narrow)
+    scored = scorer(docs, labels)(docs.select(F.col("text").alias("text"), F.col("doc_id").alias("doc_id")))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -319,7 +443,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic; all other rows and columns unchanged, whatever their names.
 
-    A score of exactly ``THRESHOLD`` counts as toxic; equal texts get equal scores.
+    The scores travel by two hashes of the text, which decides them.
     """
-    score = unused(docs, "score")
-    return scorer(docs, labels, score)(docs).where(F.col(score) < THRESHOLD).drop(score)
+    marks = [F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))]
+    own = [unused(docs, f"text_{k}") for k in "ab"]
+    scored = scorer(docs, labels)(docs.select(F.col("text").alias("text"), *(m.alias(o) for m, o in zip(marks, own))))
+    toxic = staged(scored.where(F.col("score") >= THRESHOLD).select(*own).distinct())
+    marked = docs.select("*", *(m.alias(o) for m, o in zip(marks, own)))
+    return marked.join(_small(toxic), own, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,0 +1,143 @@
+"""The toxicity models against plain counting, and sums that do not depend on where they are made."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import toxicity
+from tests.llm.samples import prose
+
+
+def _labelled(count: int = 60) -> list[tuple]:
+    draw = random.Random(4)
+    rows = []
+    for k in range(count):
+        words = prose(k % 40, 30 + k).split()
+        if toxic := int(k % 4 == 0):
+            for _ in range(5):
+                at = draw.randrange(len(words))
+                words[at:at] = ["You", "vile" + str(draw.randrange(3))]
+        rows.append((k, " ".join(words) + (" zürich" if k % 9 == 0 else ""), toxic))
+    return rows + [(900, None, 1), (901, "", 0), (902, " .,", 0)]
+
+
+def _plain(rows: list[tuple]) -> tuple[Counter, Counter, dict]:
+    """Tokens per class of each pair, continuation counts per class of each word, and context totals."""
+    pairs: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    for _, text, label in rows:
+        words = [w.lower() for w in re.findall(r"[A-Za-z0-9\u0080-\U0010FFFF]+", text or "")]
+        pairs[label].update(zip([""] + words, words))
+    types = {k: Counter(w for _, w in pairs[k]) for k in pairs}
+    both = Counter(w for _, w in set(pairs[0]) | set(pairs[1]))
+    return pairs, types, both
+
+
+def test_model_equals_plain_counting(spark):
+    rows = _labelled()
+    training = spark.createDataFrame([(t, label) for _, t, label in rows], "t string, label int").repartition(5)
+    model, totals = toxicity.count_model(training)
+    found = model.toPandas()
+    pairs, types, both = _plain(rows)
+    words = found[found.kind == toxicity.WORD]
+    assert len(words) == len(both)
+    expected = sorted((types[1][w], types[0][w], n) for w, n in both.items())
+    assert sorted(zip(words.w_toxic_types, words.w_ordinary_types, words.w_types)) == expected
+    repeated = {p: n for p, n in pairs[1].items() if n >= toxicity.MIN_COUNT}
+    context = {k: Counter() for k in pairs}
+    following = {k: defaultdict(set) for k in pairs}
+    for k, counted in pairs.items():
+        for (before, word), n in counted.items():
+            context[k][before] += n
+            following[k][before].add(word)
+    expected = sorted(
+        (n, pairs[0][p], types[1][p[1]], context[1][p[0]], context[0][p[0]], len(following[1][p[0]]), len(following[0][p[0]]))
+        for p, n in repeated.items()
+    )
+    of_pairs = found[found.kind == toxicity.PAIR]
+    columns = ["toxic", "ordinary", "w_toxic_types", "c_toxic", "c_ordinary", "c_toxic_types", "c_ordinary_types"]
+    assert len(expected) > 2 and sorted(map(tuple, of_pairs[columns].astype(int).to_numpy().tolist())) == expected
+    assert totals.counts == (sum(types[1].values()), sum(types[0].values())) and totals.types == sum(both.values())
+
+
+def test_word_probabilities_sum_to_one_in_each_class(spark):
+    training = spark.createDataFrame([(t, label) for _, t, label in _labelled()], "t string, label int")
+    model, totals = toxicity.count_model(training)
+    p = totals.word((F.col("w_toxic_types"), F.col("w_ordinary_types")), F.col("w_types"))
+    sums = model.where(F.col("kind") == toxicity.WORD).agg(F.sum(p[0]), F.sum(p[1])).first()
+    assert all(math.isclose(s, 1, rel_tol=1e-9) for s in sums)
+
+
+def _scores(spark, rows) -> dict:
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(d, label) for d, _, label in rows], "doc_id long, toxic int")
+    return {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+
+
+@pytest.mark.parametrize("frequent, joined", [(0, 1_000_000), (7, 0)])
+def test_scores_do_not_depend_on_the_broadcast(spark, monkeypatch, frequent, joined):
+    rows = _labelled()
+    whole = _scores(spark, rows)
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", joined)
+    assert _scores(spark, rows) == whole
+
+
+def test_rare_expressions_are_scored_at_any_size(spark):
+    """A word seen once among toxic texts is evidence beside thirty texts and beside three hundred."""
+    for count in (30, 300):
+        rows = [(k, prose(k, 40), int(k % 4 == 0)) for k in range(count)]
+        rows[4] = (4, rows[4][1] + " abominable", 1)
+        training = spark.createDataFrame([(t, label) for _, t, label in rows], "t string, label int")
+        model, totals = toxicity.count_model(training)
+        zero = F.lit(0)
+        added = model.select("*", toxicity._evidence(totals, zero, zero, zero)[0].alias("d0"))
+        once = added.where("kind = 0 and w_toxic_types = 1 and w_ordinary_types = 0").agg(F.count("*"), F.min("d0")).first()
+        assert once[0] >= 1 and once[1] > toxicity.UNIT / 2
+
+
+def test_own_counts_are_taken_out(spark):
+    """Without its own occurrences a word that one text alone holds says nothing."""
+    training = spark.createDataFrame([("mild day", 0), ("mild night", 0), ("vile vile vile vile", 1)], "t string, label int")
+    model, totals = toxicity.count_model(training)
+    # "vile" follows the start once and itself three times: two distinct contexts
+    vile = model.where("kind = 0 and w_toxic_types = 2")
+    with_own, without = (toxicity._evidence(totals, F.lit(n), F.lit(n), F.lit(1))[0] for n in (0, 4))
+    row = vile.select(with_own.alias("a"), without.alias("b")).first()
+    assert row.a > 0 and row.b == 0
+
+
+def test_repeated_rows_ties_and_hot_copies(spark):
+    rows = _labelled()
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows] + [(0, rows[0][1])] * 30 + [(None, rows[0][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, label) for d, _, label in rows], "doc_id long, toxic int")
+    found = toxicity.toxicity(docs, labels).collect()
+    assert len(found) == len(rows) + 31
+    copies = {r.score for r in found if r.doc_id in (0, None)}
+    assert len(copies) == 1
+    kept = toxicity.keep_ordinary(docs, labels)
+    bad = copies.pop() >= toxicity.THRESHOLD
+    assert (kept.where("doc_id = 0 or doc_id is null").count() == 0) == bad
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.toxicity(docs, labels).count() == 0
+    assert toxicity.toxicity(docs, labels).columns == ["doc_id", "held_out", "score", "predicted"]
+
+
+def test_long_text_and_slices(spark, monkeypatch):
+    """A text longer than a slice gives what a whole pass gives."""
+    rows = _labelled()
+    rows[0] = (0, " ".join(rows[0][1] for _ in range(40)), 1)
+    whole = _scores(spark, rows)
+    monkeypatch.setattr(toxicity, "SCORED_BYTES", 64)
+    small = _scores(spark, rows)
+    assert all(np.isclose(small[d], whole[d], rtol=1e-12) for d in whole)
