@@ -45,6 +45,7 @@ MIN_COUNT = 3
 #: Expressions broadcast, and bits of the bitmap of all; they bound memory and change no result.
 FREQUENT = 1 << 18
 BITMAP_BITS = 1 << 26
+PROBES = 3
 _BLOCK_BITS = 8 * 4096
 CALIBRATION_ROWS = 8_000
 #: A table of at most so many rows is broadcast to a join; a larger one is shuffled.
@@ -278,14 +279,29 @@ def _evidence(totals: Totals, words: Column, pairs: Column, label: Column) -> tu
     return tuple(F.round(x * UNIT).cast("long") for x in parts)
 
 
+def _bit(key: np.ndarray, probe: int) -> np.ndarray:
+    return ((key >> np.uint64(19 * probe)) % np.uint64(BITMAP_BITS)).astype(np.int64)
+
+
+def _may_hold(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether every bit of a key is set: always for a counted expression."""
+    alive = np.arange(len(key))
+    for probe in range(PROBES):
+        at = _bit(key[alive], probe)
+        alive = alive[bitmap[at >> 3] >> (at & 7) & 1 == 1]
+    out = np.zeros(len(key), bool)
+    out[alive] = True
+    return out
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key = batch.column(0).to_numpy().view(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array((key % np.uint64(BITMAP_BITS)).astype(np.int64) + 1)], names=["place"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_bit(key, k) for k in range(PROBES)]) + 1)], names=["place"])
 
 
 def _bitmap(model: DataFrame) -> bytes:
-    """A bit for each key of the model; always ``BITMAP_BITS`` long."""
+    """``PROBES`` bits for each key of the model; always ``BITMAP_BITS`` long."""
     blocks = (
         model.select("key")
         .mapInArrow(_places, "place long")
@@ -312,8 +328,8 @@ def _look_up(batch: pa.RecordBatch, text: int, keys: np.ndarray, adds: np.ndarra
         place, known = find(keys, key.view(np.int64))
         for k in (0, 1):
             np.add.at(sums[k], first + row[known], adds[k][place[known]])
-        at = (key % np.uint64(BITMAP_BITS)).astype(np.int64)
-        left = ~known & (bitmap[at >> 3] >> (at & 7) & 1 == 1)
+        left = np.flatnonzero(~known)
+        left = left[_may_hold(bitmap, key[left])]
         row, key, word = row[left], key[left], word[left]
         times = _occurrences(row, key)
         order = np.lexsort((key, row))
