@@ -3,15 +3,18 @@
 A string of 400 bytes that starts at two places is removed at both. Every window
 of 400 bytes has an anchor, the least hash of the 64-byte strings inside it, which
 equal windows share. Anchors that stand at one place only are counted away in
-Spark; what is left are runs of windows with a shared anchor. Each run's bytes go
-to the shard that its anchor names, so equal windows meet in one shard. There
-equal runs are joined, a suffix array with common prefixes is built by external
-induced sorting (``suffix_sort``), and a window is repeated if it shares 400 bytes
-with a neighbour in the array.
-
-The shards' sizes are set by the number of runs. Null texts count as empty. A null
-``doc_id`` cannot be joined back: such a row is compared with nothing. Rows that
-repeat a ``doc_id`` must repeat its text; they are several places, so all of it goes.
+Spark; what is left are runs of windows with a shared anchor. Runs with equal bytes
+(a digest of 128 bits tells) are joined where they lie: all windows of a run that
+stands at two places are repeated. Only where the runs of one anchor differ, or one
+run holds its anchor twice, are windows left to compare. Of such runs one copy each
+goes to the shard that its anchor names, so equal windows meet in one shard. There a
+suffix array with common prefixes is built by external induced sorting
+(``suffix_sort``), and a window is repeated if it shares 400 bytes with a neighbour
+in the array.
+
+The shards' sizes are set by the number of different runs. Null texts count as
+empty. Rows are told apart by id and text, so null and repeated ids are rows like any
+other; rows alike in both are several places, so all of their windows go.
 """
 
 from __future__ import annotations
@@ -26,8 +29,6 @@ from pyspark.sql import functions as F
 
 from headway.llm.kernels import (
     byte_items,
-    interval_union,
-    mixed,
     rabin_karp,
     rows_of,
     signed,
@@ -36,12 +37,13 @@ from headway.llm.kernels import (
     utf8,
 )
 from headway.llm.staging import bounded_batches, staged
-from headway.llm.substring_dedup import narrowed
+from headway.llm.substring_dedup import BROADCAST_IDS
 from headway.llm.suffix_sort import suffix_array
 
 WINDOW, ANCHOR = 400, 64
 SPREAD = WINDOW - ANCHOR + 1
 SHARD_RUNS = 4_000
+KEY = "key struct<a:long,b:long>"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -65,9 +67,8 @@ def _windows(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, anchor and at how many places of the slice's document it stands."""
+    """Row key, anchor and at how many places of the slice's row it stands."""
     for batch in batches:
-        ids = batch.column(0).to_numpy()
         for first, _, own, at, anchor, hashes in _windows(batch.column(1)):
             # a place holds an anchor if it is the least of some window around it
             most = np.zeros(len(hashes) + SPREAD - 1, np.uint64)
@@ -81,41 +82,65 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (value[1:] != value[:-1]))))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[first + row[new]]),
+                        batch.column(0).take(pa.array(first + row[new])),
                         pa.array(signed(value[new])),
                         pa.array(np.diff(np.append(new, len(row))).astype(np.int32)),
                     ],
-                    names=["doc_id", "anchor", "places"],
+                    names=["key", "anchor", "places"],
                 )
 
 
-def _segments(shards: int):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of every run of windows with a shared anchor, and the shard they go to."""
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            shared = [np.sort(np.array(a, np.int64).view(np.uint64)) for a in batch.column(2).to_pylist()]
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for first, part, own, at, anchor, _ in _windows(batch.column(1)):
-                row = rows_of(own, at)
-                new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])))
-                begins = np.flatnonzero(new)
-                ends = np.append(begins[1:], len(at)) - 1
-                raw = part.tobytes()
-                for a, b in zip(begins.tolist(), ends.tolist()):
-                    known = shared[first + row[a]]
-                    k = np.searchsorted(known, anchor[a])
-                    if k < len(known) and known[k] == anchor[a]:
-                        out[0].append(int(mixed(anchor[a : a + 1])[0] % np.uint64(shards)))
-                        out[1].append(ids[first + row[a]])
-                        out[2].append(int(at[a] - own[row[a]]))
-                        out[3].append(raw[at[a] : at[b] + WINDOW])
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every run of windows with a shared anchor: its place, a digest of its bytes, whether it holds the anchor again."""
+    for batch in batches:
+        shared = [np.sort(np.array(a, np.int64).view(np.uint64)) for a in batch.column(2).to_pylist()]
+        for first, part, own, at, anchor, hashes in _windows(batch.column(1)):
+            row = rows_of(own, at)
+            new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])))
+            begins = np.flatnonzero(new)
+            sizes = np.diff(np.append(begins, len(at)))
+            left = at[begins]
+            raw = memoryview(part.tobytes())
+            held, digests, again = [], [], []
+            for run, (r, a, n) in enumerate(zip(row[begins].tolist(), left.tolist(), sizes.tolist())):
+                known, value = shared[first + r], anchor[begins[run]]
+                k = np.searchsorted(known, value)
+                if k < len(known) and known[k] == value:
+                    held.append(run)
+                    digests.append(hashlib.blake2b(raw[a : a + n - 1 + WINDOW], digest_size=16).digest())
+                    again.append(np.count_nonzero(hashes[a : a + n - 1 + SPREAD] == value) > 1)
+            held = np.array(held, np.int64)
+            owner = row[begins[held]]
+            digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())],
-                names=["shard", "doc_id", "start", "segment"],
+                [
+                    batch.column(0).take(pa.array(first + owner)),
+                    pa.array((left[held] - own[owner]).astype(np.int64)),
+                    pa.array(sizes[held].astype(np.int64)),
+                    pa.array(signed(anchor[begins[held]])),
+                    pa.array(np.ascontiguousarray(digest[:, 0])),
+                    pa.array(np.ascontiguousarray(digest[:, 1])),
+                    pa.array(again, pa.bool_()),
+                ],
+                names=["key", "start", "windows", "anchor", "c1", "c2", "again"],
             )
 
-    return cut
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of a row's runs that are to be compared, and the shards they go to."""
+    for batch in batches:
+        keys, numbers, segments = [], [], []
+        for k, (text, runs) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
+            raw = (text.as_py() or "").encode()
+            for run in runs:
+                keys.append(k)
+                numbers.append((run["shard"], run["start"], run["n"]))
+                segments.append(raw[run["start"] : run["start"] + run["windows"] - 1 + WINDOW])
+        columns = list(zip(*numbers)) or [()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(keys, pa.int64())), *(pa.array(c, pa.int64()) for c in columns), pa.array(segments, pa.binary())],
+            names=["key", "shard", "start", "n", "segment"],
+        )
 
 
 def repeated_windows(segments: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
@@ -135,37 +160,40 @@ def repeated_windows(segments: list[bytes], window: int = WINDOW) -> list[np.nda
 
 
 def _sort_shard(table: pa.Table) -> pa.Table:
-    """doc_id and starts of the shard's repeated windows, one row for each run that has any."""
-    doc, start = (table.column(c).to_numpy() for c in ("doc_id", "start"))
-    seen: dict[bytes, list[int]] = {}
-    for row, segment in enumerate(table.column("segment").to_pylist()):
-        seen.setdefault(segment, []).append(row)
-    found = repeated_windows(list(seen))
-    out: list[list] = [[], []]
-    for (segment, rows), starts in zip(seen.items(), found):
-        if len(rows) > 1:
-            starts = np.arange(len(segment) - WINDOW + 1)
-        if len(starts):
-            for row in rows:
-                out[0].append(doc[row])
-                out[1].append((start[row] + starts).astype(np.int64).tobytes())
-    return pa.table({"doc_id": pa.array(out[0], pa.int64()), "starts": pa.array(out[1], pa.binary())})
+    """Row key, first and end of every stretch of the shard's repeated windows, in runs that stand at one place."""
+    n, start = (table.column(c).to_numpy() for c in ("n", "start"))
+    found = repeated_windows(table.column("segment").to_pylist())
+    rows, begins, ends = [], [], []
+    for k, starts in enumerate(found):
+        if n[k] == 1 and len(starts):
+            new = np.concatenate(([True], np.diff(starts) > 1))
+            begin = starts[new]
+            rows.append(np.full(len(begin), k))
+            begins.append(start[k] + begin)
+            ends.append(start[k] + starts[np.append(new[1:], True)] + 1)
+    rows, begins, ends = (np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64) for x in (rows, begins, ends))
+    key = table.column("key").combine_chunks().take(pa.array(rows))
+    return pa.table({"key": key, "begin": pa.array(begins), "end": pa.array(ends)})
 
 
 def _trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         removed = batch.column(2).to_pylist() if batch.num_columns > 2 else [[]] * batch.num_rows
-        for text, starts in zip(batch.column(1), removed):
+        for text, stretches in zip(batch.column(1), removed):
             raw = (text.as_py() or "").encode()
-            places = np.unique(np.frombuffer(b"".join(starts), np.int64))
-            left, right = interval_union(places, WINDOW)
-            kept, at = hashlib.sha256(), 0
-            for a, b in zip(left.tolist(), right.tolist()):
-                kept.update(raw[at:a])
-                at = b
+            kept, at, gone, spans = hashlib.sha256(), 0, 0, 0
+            reach = -1  # end of the removed run so far
+            for stretch in sorted((s["begin"], s["end"]) for s in stretches):
+                a, b = stretch[0], stretch[1] - 1 + WINDOW
+                spans += a > reach
+                a = max(a, reach)
+                if b > a:
+                    kept.update(raw[at:a])
+                    gone += b - a
+                    at = reach = b
             kept.update(raw[at:])
-            rows.append((len(raw), int((right - left).sum()), len(left), kept.hexdigest()))
+            rows.append((len(raw), gone, spans, kept.hexdigest()))
         columns = list(zip(*rows)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
@@ -173,33 +201,65 @@ def _trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _among(docs: DataFrame, keys: DataFrame, rows: int, kind: str) -> DataFrame:
+    """``docs`` whose key is (not) among ``keys``; broadcast only where measured to be small."""
+    named = keys.select(F.col("key").alias("other"))
+    return docs.join(F.broadcast(named) if rows <= BROADCAST_IDS else named, F.col("key") == F.col("other"), kind)
+
+
+def _with_texts(docs: DataFrame, lists: DataFrame, rows: int, column: str) -> DataFrame:
+    """key, text and ``column`` of the rows that ``lists`` names; only their texts are shuffled."""
+    other = lists.select(F.col("key").alias("other"), column)
+    return _among(docs, lists, rows, "left_semi").join(other, F.col("key") == F.col("other")).select("doc_id", "key", "text", column)
+
+
+def _compared(docs: DataFrame, contents: DataFrame) -> DataFrame:
+    """Stretches of repeated windows in runs at one place whose anchor other runs share, or that hold it again."""
+    open_ = contents.groupBy("anchor").agg(F.count("*").alias("m"), F.max("again").alias("again")).where("m > 1 or again")
+    shards = max(1, -(-(open_.agg(F.sum("m")).first()[0] or 0) // SHARD_RUNS))
+    run = F.struct(
+        F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"),
+        F.col("holder.start").alias("start"), F.col("holder.windows").alias("windows"), "n",
+    )
+    held = staged(
+        contents.join(open_.select("anchor"), "anchor")
+        .groupBy(F.col("holder.key").alias("key")).agg(F.collect_list(run).alias("runs"))
+    )
+    rows = held.count()
+    single = _among(docs, held, rows, "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return (
+        single.join(held, "key").select("key", "text", "runs")
+        .mapInArrow(_cut, f"{KEY}, shard long, start long, n long, segment binary")
+        .groupBy("shard").applyInArrow(_sort_shard, f"{KEY}, begin long, end long")
+    )
+
+
 def remove_repeated_bytes(docs: DataFrame) -> DataFrame:
     """Per row: its bytes, how many are removed in how many runs, and a digest of those kept."""
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    named = docs.where(F.col("doc_id").isNotNull())
-    anchors = named.mapInArrow(_anchors, "doc_id long, anchor long, places int")
+    key = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text")).alias("b"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).withColumn("key", key)
+    anchors = docs.select("key", "text").mapInArrow(_anchors, f"{KEY}, anchor long, places int")
     shared = (
         anchors.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1").select(F.col("anchor").alias("shared"))
     )
     suspects = staged(
-        anchors.join(shared, F.col("anchor") == F.col("shared"))
-        .groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("anchor").alias("anchors"), F.sum("places").alias("runs"))
+        anchors.join(shared, F.col("anchor") == F.col("shared")).groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
+    )
+    # rows alike in id and text share their key, so each of them is met by one list
+    runs = staged(
+        _with_texts(docs, suspects, suspects.count(), "anchors").select("key", "text", "anchors")
+        .mapInArrow(_runs, f"{KEY}, start long, windows long, anchor long, c1 long, c2 long, again boolean")
     )
-    rows, runs = suspects.agg(F.count("*"), F.sum("runs")).first()
-    shards = max(1, -(-(runs or 0) // SHARD_RUNS))
-    segments = (
-        narrowed(named, suspects.select("id"), rows, "left_semi").join(suspects, F.col("doc_id") == F.col("id"))
-        .select("doc_id", "text", "anchors")
-        .mapInArrow(_segments(shards), "shard long, doc_id long, start long, segment binary")
+    contents = staged(
+        runs.groupBy("anchor", "c1", "c2")
+        .agg(F.count("*").alias("n"), F.max("again").alias("again"), F.min(F.struct("key", "start", "windows")).alias("holder"))
     )
+    copied = contents.where("n > 1").select("c1", "c2")
+    whole = runs.join(copied, ["c1", "c2"], "left_semi").select("key", F.col("start").alias("begin"), (F.col("start") + F.col("windows")).alias("end"))
     removed = staged(
-        segments.groupBy("shard").applyInArrow(_sort_shard, "doc_id long, starts binary")
-        .groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("starts").alias("starts"))
-    )
-    ids, rows = removed.select("id"), removed.count()
-    trimmed = (
-        narrowed(named, ids, rows, "left_semi").join(removed, F.col("doc_id") == F.col("id"))
-        .select("doc_id", "text", "starts").mapInArrow(_trimmed, SCHEMA)
-    )
-    return narrowed(docs, ids, rows, "left_anti").mapInArrow(_trimmed, SCHEMA).union(trimmed)
+        whole.union(_compared(docs, contents)).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("stretches"))
+    )
+    rows = removed.count()
+    trimmed = _with_texts(docs, removed, rows, "stretches").select("doc_id", "text", "stretches").mapInArrow(_trimmed, SCHEMA)
+    return _among(docs, removed, rows, "left_anti").select("doc_id", "text").mapInArrow(_trimmed, SCHEMA).union(trimmed)

@@ -1,0 +1,61 @@
+"""Byte removal on odd rows: ids null or repeated, anchors that stand twice in a run, an anchor that many rows share."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+
+from headway.llm import suffix_dedup
+from tests.llm.samples import prose
+
+
+def brute(texts):
+    raw = [(t or "").encode() for t in texts]
+    count = Counter(x[k : k + 400] for x in raw for k in range(len(x) - 399))
+    out = []
+    for x in raw:
+        gone = np.zeros(len(x) + 1, bool)
+        for k in range(len(x) - 399):
+            if count[x[k : k + 400]] > 1:
+                gone[k : k + 400] = True
+        gone = gone[: len(x)]
+        spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        out.append((len(x), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(x, np.uint8)[~gone])).hexdigest()))
+    return out
+
+
+def check(spark, rows):
+    expected = sorted(((d is None, d or 0), *r) for (d, _), r in zip(rows, brute([t for _, t in rows])))
+    df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, starts string")
+    found = suffix_dedup.remove_repeated_bytes(df)
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(((r[0] is None, r[0] or 0), *r[1:]) for r in found.collect()) == expected
+
+
+def test_null_and_repeated_ids(spark):
+    a, b = prose(1, 120), prose(2, 130)
+    check(spark, [(None, a), (None, b), (None, a + " end"), (5, b), (5, prose(3, 100)), (5, prose(3, 100)), (6, None), (None, None), (7, "")])
+
+
+def test_texts_that_repeat_themselves(spark):
+    a = prose(4, 90)
+    check(spark, [(1, "a" * 950), (2, "ab" * 300 + prose(5, 80)), (3, a + a[:500] + prose(6, 70) + a), (4, "x" * 401), (5, "é" * 320), (6, prose(7, 90))])
+
+
+def test_a_passage_with_different_surroundings_in_many_rows(spark):
+    passage = prose(8, 75)
+    rows = [(k, f"{prose(100 + k, 5 + k % 7)} {passage} {prose(300 + k, 3 + k % 5)}") for k in range(60)]
+    rows += [(100 + k, passage[k : 430 + k]) for k in range(12)]
+    check(spark, rows)
+
+
+def test_near_copies_of_one_text(spark):
+    words = prose(9, 260).split()
+    rows = []
+    for k in range(25):
+        changed = list(words)
+        changed[(k * 37) % 260] = f"own{k}"
+        rows.append((k, " ".join(changed)))
+    check(spark, rows)
