@@ -21,6 +21,7 @@ import numpy as np
 
 QUEUE_BYTES = 64 << 20
 SHORT = 1 << 22
+COMPARED = 1 << 22  # symbols compared at once
 FAR = np.int32(2**30)
 
 
@@ -78,25 +79,36 @@ def rising(text: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """Length, up to ``limit``, of the common prefixes of pairs of suffixes."""
+    """Length, up to ``limit``, of the common prefixes of pairs of different suffixes, compared a block at a time."""
     out = np.zeros(len(a), np.int32)
     live = np.arange(len(a))
-    depth, n = 0, len(text)
+    depth, block = 0, 8
     while len(live) and depth < limit:
-        x, y = a[live] + depth, b[live] + depth
-        same = (x < n) & (y < n)
-        same[same] = text[x[same]] == text[y[same]]
-        live = live[same]
-        depth += 1
-        out[live] = depth
-    return out
+        # past the end stands a symbol unlike any other; two different suffixes never both reach it
+        padded = np.append(text, np.full(block, -1, text.dtype))
+        views = np.lib.stride_tricks.sliding_window_view(padded, block)
+        going = []
+        for part in np.array_split(live, -(-len(live) * block // COMPARED)):
+            differ = views[a[part] + depth] != views[b[part] + depth]
+            first = np.where(differ.any(axis=1), differ.argmax(axis=1), block)
+            out[part] = depth + first
+            going.append(part[first == block])
+        live = np.concatenate(going)
+        depth += block
+        block = min(2 * block, 64)
+    return np.minimum(out, limit)
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    """Dense ranks of small non-negative integers."""
+    return np.cumsum(np.bincount(values) > 0)[values] - 1
 
 
 def _ranked(text: np.ndarray, is_rising: np.ndarray, feet: np.ndarray) -> np.ndarray:
     """Order-keeping numbers of the stretches from each foot to the next, equal for equal stretches."""
     last = np.append(feet[1:], feet[-1])
     symbols = text.astype(np.int64) * 2 + is_rising
-    _, rank = np.unique(symbols[feet], return_inverse=True)
+    rank = _numbered(symbols[feet])
     depth = 1
     open_ = np.flatnonzero(feet + depth <= last)
     while len(open_):
@@ -119,26 +131,35 @@ def _ranked(text: np.ndarray, is_rising: np.ndarray, feet: np.ndarray) -> np.nda
         inner = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         wide = before[rank]
         wide[order] = before[rank[order]] + (inner - start)
-        _, rank = np.unique(wide, return_inverse=True)
+        rank = _numbered(wide)
         depth += 1
         open_ = open_[feet[open_] + depth <= last[open_]]
     return rank
 
 
 def doubled(text: np.ndarray) -> np.ndarray:
-    """Suffix array of a short text, by sorting prefixes of doubling length."""
+    """Suffix array of a short text, by sorting prefixes of doubling length; settled suffixes are not sorted again."""
     n = len(text)
-    _, rank = np.unique(text, return_inverse=True)
+    order = np.argsort(text, kind="stable")
+    new = np.append(True, text[order[1:]] != text[order[:-1]])
+    rank = np.empty(n, np.int64)  # how many suffixes are known to be smaller
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     width = 1
     while True:
-        far = np.full(n, -1, np.int64)
-        far[: n - width] = rank[width:]
-        order = np.lexsort((far, rank))
-        new = np.concatenate(([0], (rank[order][1:] != rank[order][:-1]) | (far[order][1:] != far[order][:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n - 1 or width >= n:
+        alone = new & np.append(new[1:], True)
+        at = np.flatnonzero(~alone)  # places in the order that are still shared
+        if not len(at):
             return order
+        open_ = order[at]
+        far = np.zeros(len(open_), np.int64)
+        inside = open_ + width < n
+        far[inside] = rank[open_[inside] + width] + 1
+        key = rank[open_] * (n + 1) + far
+        turn = np.argsort(key)
+        order[at], key = open_[turn], key[turn]
+        fresh = np.append(True, key[1:] != key[:-1])
+        new[at] = fresh
+        rank[order[at]] = np.maximum.accumulate(np.where(fresh, at, 0))
         width *= 2
 
 
@@ -158,7 +179,7 @@ class _Induction:
             np.minimum(self.least, whole, out=self.least)
             return
         symbol = self.text[before[at]]
-        order = np.argsort(symbol, kind="stable")
+        order = np.argsort(symbol.astype(np.uint16) if len(self.least) <= 1 << 16 else symbol, kind="stable")
         at, symbol = at[order], symbol[order]
         first = np.concatenate(([True], symbol[1:] != symbol[:-1]))
         begin = np.where(first, 0, np.concatenate(([0], at[:-1] + 1)))
@@ -198,7 +219,9 @@ def suffix_array(text: np.ndarray, limit: int = 1 << 20, queue_bytes: int = QUEU
     edges = np.searchsorted(text[feet], np.arange(symbols + 1))
 
     def seam(a: int, b: int) -> int:
-        return int(common_prefixes(text, np.array([a]), np.array([b]), limit)[0])
+        size = min(limit, n - a, n - b)
+        differ = text[a : a + size] != text[b : b + size]
+        return int(differ.argmax()) if differ.any() else size
 
     queue = DiskQueue(queue_bytes)
     induce = _Induction(text, ~up, limit, queue, symbols)
