@@ -231,3 +231,31 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text", "hashes").mapInArrow(_trimmed, SCHEMA)
     )
     return narrowed(docs, ids, rows, "left_anti").mapInArrow(_untouched, SCHEMA).union(trimmed)
+
+
+#: DuckDB: every window's words joined by spaces, its least holder, and the words that later holders' windows cover.
+ORACLE_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM documents
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM cut
+), windows AS (
+  SELECT doc_id, word, place,
+    CASE WHEN count(*) OVER next50 = 50 THEN md5(string_agg(word, ' ') OVER next50) END AS w
+  FROM placed
+  WINDOW next50 AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), lowest AS (
+  SELECT w, min(doc_id) AS low FROM windows WHERE w IS NOT NULL GROUP BY w
+), judged AS (
+  SELECT doc_id, word, place, coalesce(max(CAST(low < doc_id AS INT)) OVER
+    (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM windows LEFT JOIN lowest USING (w)
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed,
+    sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone = 0), '')) AS kept_sha256
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
