@@ -482,3 +482,34 @@ def keep_one(docs: DataFrame) -> DataFrame:
         return kept
     single = kept.join(again, row_key() == F.col(other), "left_anti")
     return single.union(kept.join(again, row_key() == F.col(other), "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+#: DuckDB: shared shingles of all pairs (for small tables), links, and what links reach.
+ORACLE_SQL = r"""WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), placed AS (
+  SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(len(words))) AS place FROM cut
+), joined AS (
+  SELECT doc_id, place = 0 OR place <= n - 5 AS whole, string_agg(word, ' ') OVER
+    (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle
+  FROM placed
+), sets AS (
+  SELECT DISTINCT doc_id, md5(shingle) AS shingle FROM joined WHERE whole
+), sizes AS (
+  SELECT doc_id, count(*) AS size FROM sets GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * n >= 80 * (a.size + b.size - n)
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, w.y FROM reached r JOIN ways w ON r.other = w.x
+)
+SELECT doc_id, CAST(coalesce(any_value(size), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

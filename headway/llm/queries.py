@@ -107,6 +107,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_substring_dedup": substring_dedup.ORACLE_SQL,
     "op3_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op9_jaccard_join": jaccard_join.ORACLE_SQL,
     "op11_source_divergence": divergence.ORACLE_SQL,
     "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
 }
