@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import live
+from headway.schemas import LIVE_FIELDS
 from headway.sources.files import fresh_folder
 from headway.sources.state import PollState
 from headway.streaming.poll import file_sink, message_stream, poll_batch, read_records, start_poll
@@ -18,6 +19,8 @@ POLLED_AT = "2024-02-01T06:30:00+00:00"
 #: A clock after every event.
 LATE = datetime(2100, 1, 1, tzinfo=timezone.utc)
 CUTOFFS = {"vehicles": X.CUTOFF, "alerts": X.CUTOFF, "predictions": X.CUTOFF}
+#: A compressed file is read by one task.
+LINES_PER_FILE = 200_000
 # Message fields shown by the envelope queries.
 SHOWN = (
     "source string, endpoint string, record_type string, record_id string, filter_route string, "
@@ -108,23 +111,31 @@ def stream_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Two polls, as records of the events so far and then as pages of all: the second sends what changed since the first."""
+    """Two polls of the whole feed, as records and then as pages: the second sends what changed since the first.
+
+    The first meets what changes after it with a stamp of its own time.
+    """
     root = fresh_folder(spark, "poll")
-    state = PollState(spark, f"{root}/state")
+    cutoff = F.lit(X.CUTOFF).cast("timestamp_ntz")
     for polled_at in (X.CUTOFF, X.RUN_2):
-        events = X.table(spark, folder, "events").where(F.col("ts") <= F.lit(polled_at).cast("timestamp_ntz"))
-        lines = X.live_records(spark, folder, events)
+        events = X.table(spark, folder, "events")
+        if polled_at == X.CUTOFF:
+            events = events.withColumn("ts", F.when(F.col("ts") > cutoff, cutoff).otherwise(F.col("ts")))
+        lines = X.live_records(spark, folder, X.spread(events))
         if polled_at == X.RUN_2:
             lines = lines.withColumn("record", F.concat(F.lit('{"data":['), "record", F.lit("]}")))
-        lines.write.mode("append").partitionBy("endpoint").text(f"{root}/in")
-        body = poll_batch(state, file_sink(f"{root}/out"), ROUTES, clock=lambda at=polled_at: at)
-        start_poll(read_records(spark, f"{root}/in"), f"{root}/checkpoint", body, once=True).awaitTermination()
-    sent = spark.read.schema("key string, value string, poll int, topic string").parquet(f"{root}/out")
+        _land(lines, root)
+        _poll(spark, root, clock=polled_at)
+    sent = _sent(spark, root)
     return sent.select("poll", "topic", "key", F.get_json_object("value", "$.filter_route").alias("filter_route"))
 
 
 def _land(lines: DataFrame, root: str) -> None:
-    lines.write.mode("append").partitionBy("endpoint").text(f"{root}/in")
+    """Lines to the folders of their endpoints, each written on its own: no task sorts texts by folder."""
+    for endpoint in LIVE_FIELDS:
+        own = lines.where(F.col("endpoint") == endpoint).drop("endpoint")
+        writer = own.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+        writer.text(f"{root}/in/endpoint={endpoint}")
 
 
 def _poll(spark: SparkSession, root: str, routes=ROUTES, clock=LATE, **options) -> PollState:
@@ -143,7 +154,7 @@ def _three_polls(spark: SparkSession, folder: str) -> tuple[PollState, str]:
     root = fresh_folder(spark, "polls")
     events = X.table(spark, folder, "events").withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
     for poll in range(3):
-        _land(X.live_records(spark, folder, events.where(F.col("event_id") % 3 <= poll)), root)
+        _land(X.live_records(spark, folder, X.spread(events.where(F.col("event_id") % 3 <= poll))), root)
         state = _poll(spark, root)
     return state, root
 
