@@ -127,6 +127,41 @@ def filter_routes(
     return joined.where(free | F.col("_wanted").isNotNull()).drop("_route", "_wanted")
 
 
+def stamp_routes(parsed: DataFrame, also: Column) -> DataFrame:
+    """``filter_route`` as ``filter_routes`` gives it, with no row dropped yet."""
+    route = related_id(F.col("relationships.route.data"))
+    return parsed.withColumn("filter_route", F.when((F.col("endpoint") == "predictions") & ~also, route))
+
+
+def of_wanted_routes(outcome: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of an ``outcome`` (endpoint, filter_route, status) that ``filter_routes`` keeps by a table of routes.
+
+    Made for written rows: what may be shuffled are messages, not parsed records.
+    """
+    free = F.coalesce(F.col("endpoint") != "predictions", F.lit(False)) | (F.col("status") == REJECTED)
+    names = wanted.select(F.col(wanted.columns[0]).cast("string").alias("_wanted"))
+    kept = outcome.where(~free).join(names, F.col("filter_route") == F.col("_wanted"), "left_semi")
+    return outcome.where(free).unionByName(kept)
+
+
+def not_known(outcome: DataFrame, known: DataFrame) -> DataFrame:
+    """An ``outcome`` (endpoint, key, changed_at, status, value) in which changes ``known`` count as filtered out.
+
+    Only dated news is looked up: everything else is decided already.
+    """
+    looked_up = (F.col("status") == SENT) & F.col("changed_at").isNotNull()
+    sent = known.select(
+        F.col("endpoint").alias("_endpoint"), F.col("id").alias("_id"), F.col("changed_at").alias("_changed_at")
+    ).distinct()
+    pairs = {"endpoint": "_endpoint", "key": "_id", "changed_at": "_changed_at"}
+    joined = outcome.where(looked_up).join(sent, [F.col(c) == F.col(k) for c, k in pairs.items()], "left")
+    news = F.col("_id").isNull()
+    marked = joined.withColumns(
+        {"status": F.when(news, SENT).otherwise(FILTERED_OUT), "value": F.when(news, F.col("value"))}
+    )
+    return outcome.where(~looked_up).unionByName(marked.select(*outcome.columns))
+
+
 def changed_at() -> Column:
     attributes = F.col("attributes")
     return instant_of(first_filled(*[typed(attributes[n], "string") for n in ("updated_at", "created_at")]))
@@ -148,16 +183,17 @@ def is_news(cutoffs: dict[str, datetime]) -> Column:
 def judge(
     parsed: DataFrame,
     cutoffs: dict[str, datetime],
-    routes: Sequence[str] | DataFrame = DEFAULT_ROUTES,
+    routes: Sequence[str] | DataFrame | None = DEFAULT_ROUTES,
     known: DataFrame | None = None,
 ) -> DataFrame:
-    """The records a poll fetched, with ``filter_route``, ``changed_at`` and ``status``.
+    """The records a poll fetched, with ``filter_route``, ``changed_at`` and ``status``; with ``routes`` None, of all routes.
 
     ``known`` (endpoint, id, changed_at) are changes sent before; they are
     filtered out though they lie after the cutoff. Unreadable records are
     ``rejected``, whatever their endpoint and route.
     """
-    fetched = filter_routes(parsed, routes, also=~is_readable()).withColumn("changed_at", changed_at())
+    stamped = stamp_routes(parsed, ~is_readable()) if routes is None else filter_routes(parsed, routes, also=~is_readable())
+    fetched = stamped.withColumn("changed_at", changed_at())
     news = is_news(cutoffs)
     if known is not None:
         sent = known.select(

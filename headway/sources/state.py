@@ -6,6 +6,7 @@ import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.sources.files import Files
 
@@ -64,7 +65,8 @@ class PollState:
     def _carried(self, table: str, schema: str, epoch: int) -> DataFrame:
         latest = self._latest(epoch)
         if latest is None or not self._files.exists(self._path(table, latest)):
-            return self._spark.createDataFrame([], schema)
+            # Known to be empty before anything runs: a join with it is planned away.
+            return self._spark.createDataFrame([], schema).where(F.lit(False))
         return self._spark.read.schema(schema).parquet(f"{self._files.root}/{self._path(table, latest)}")
 
     def known(self, epoch: int) -> DataFrame:

@@ -82,7 +82,8 @@ def poll_batch(
     """The ``foreachBatch`` body of one poll.
 
     Records are parsed in one pass, whose outcome is staged: messages, rejected
-    text with its reason, and what the counters need. An endpoint's cutoff follows
+    text with its reason, and what the counters need. Tables of routes and of changes
+    sent before are joined to that outcome, never to parsed records. An endpoint's cutoff follows
     the latest change it delivered, less ``OVERLAP``, never the mere time of a poll.
     Changes sent beyond the cutoff are remembered by id and instant, so a feed that
     repeats its state sends each change once and one landed late is still sent.
@@ -99,21 +100,29 @@ def poll_batch(
         earlier = state.before(epoch)
         known, pending = state.known(epoch), state.pending(epoch)
         waiting = pending.select(F.col("topic").alias("endpoint"), F.col("key").alias("id"), "changed_at")
-        judged = live.judge(
-            parsed,
-            {} if full_backfill else earlier,
-            routes() if callable(routes) else routes,
-            None if full_backfill else known.unionByName(waiting),
-        )
+        wanted = routes() if callable(routes) else routes
+        by_table = isinstance(wanted, DataFrame)
+        judged = live.judge(parsed, {} if full_backfill else earlier, None if by_table else wanted)
         with Staging(parsed.sparkSession, "poll") as staging:
             rows = staging.keep(_outcome(judged, polled_at, source))
+            if by_table:
+                # The wanted ones among the routes that occur: few, whatever the table's size.
+                found = rows.select("filter_route").distinct().where(F.col("filter_route").isNotNull())
+                names = wanted.select(F.col(wanted.columns[0]).cast("string").alias("filter_route"))
+                rows = live.of_wanted_routes(rows, staging.keep(found.join(names, "filter_route", "left_semi")))
+            if not full_backfill:
+                rows = live.not_known(rows, known.unionByName(waiting))
+            by_route = staging.keep(
+                rows.groupBy("endpoint", "filter_route")
+                .agg(*live.poll_counts(), F.max(F.unix_micros("changed_at")).alias("latest"))
+            )
             totals = {
                 r["endpoint"]: r.asDict()
-                for r in rows.groupBy("endpoint")
-                .agg(*live.poll_counts(), F.max(F.unix_micros("changed_at")).alias("latest"))
+                for r in by_route.groupBy("endpoint")
+                .agg(*[F.sum(n).alias(n) for n in _COUNTED], F.max("latest").alias("latest"))
                 .collect()
             }
-            state.write("counters", epoch, live.count_poll(rows))
+            state.write("counters", epoch, by_route.drop("latest"))
             if any(t["rejected"] for t in totals.values()):
                 rejected = rows.where(F.col("status") == live.REJECTED)
                 state.write("dead_letters", epoch, rejected.select("endpoint", "reason", F.col("value").alias("text")))
