@@ -26,10 +26,8 @@ without kept terms has pairs of value 0 and no terms. Other columns are not look
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,19 +36,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.kernels import Words, mixed
+from headway.llm.kernels import Words, mixed, rows_of, utf8
 from headway.llm.staging import bounded_batches, staged
 
 MIN_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 FIRST = 3
-#: Text bytes of one stretch, and terms of one row of its index.
+#: Text bytes of one stretch (its last batch may exceed them), and terms of one row of its index.
 STRETCH_BYTES = 16 << 20
 INDEX_TERMS = 4096
 BITMAP_BITS = 1 << 26
 _BLOCK_BITS = 8 * 4096
-_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: A term is a run of ASCII letters and bytes beyond ASCII, its capitals A to Z in lower case.
+_WORDS = Words(tuple(b for b in range(128) if not chr(b).isalpha()))
+_LOWER = np.array([b + 32 if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else b for b in range(256)], np.uint8)
 INDEX = "lang string, sources array<string>, source_of array<int>, terms array<binary>, lengths array<int>, docs array<int>, counts array<int>"
 
 
@@ -58,34 +58,39 @@ class _Stretch:
     """The inverted index of some documents of one language."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
+        self.texts: list[pa.Array] = []
         self.sources: dict[str, int] = {}
         self.source_of = array("i")
-        self.term, self.doc, self.count = array("i"), array("i"), array("i")
 
-    def add(self, text: str, source: str) -> None:
-        found = Counter(_TERM.findall(text.encode("utf-8", "surrogatepass").lower()))
-        number = self.number
-        self.term.extend([number.setdefault(t, len(number)) for t in found])
-        self.doc.extend([len(self.source_of)] * len(found))
-        self.count.extend(found.values())
-        self.source_of.append(self.sources.setdefault(source, len(self.sources)))
+    def add(self, texts: pa.Array, sources: list[str]) -> None:
+        self.texts.append(texts)
+        self.source_of.extend([self.sources.setdefault(s, len(self.sources)) for s in sources])
+
+    def _terms(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct terms and how many documents hold each; then, term by term, these documents and the occurrences there."""
+        data, bounds = utf8(pa.concat_arrays(self.texts))
+        starts, ends = _WORDS.bounds(data, bounds)
+        inside = data[~_WORDS.is_separator[data]]
+        offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+        raw = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_LOWER[inside])]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), raw).dictionary_encode()
+        order = pc.array_sort_indices(found.dictionary)
+        place = np.empty(len(order), np.int64)
+        place[order.to_numpy()] = np.arange(len(order))
+        n = len(self.source_of)
+        both = np.sort(place[found.indices.to_numpy()] * n + rows_of(bounds, starts))
+        first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))[: len(both)])
+        lengths = np.bincount(both[first] // n, minlength=len(order))
+        return found.dictionary.take(order).cast(pa.binary()), lengths, both[first] % n, np.diff(np.append(first, len(both)))
 
     def rows(self, lang: str) -> Iterator[list]:
         """Index rows of about ``INDEX_TERMS`` sorted terms; terms with one first prefix share a row."""
-        terms = sorted(self.number)
-        place = np.empty(len(terms), np.int64)
-        place[[self.number[t] for t in terms]] = np.arange(len(terms))
-        term, doc, count = (np.frombuffer(a, np.int32) if a else np.empty(0, np.int32) for a in (self.term, self.doc, self.count))
-        order = np.argsort(place[term], kind="stable")
-        doc, count = doc[order], count[order]
-        lengths = np.bincount(place[term], minlength=len(terms))
+        terms, lengths, doc, count = self._terms()
         bounds = np.concatenate(([0], np.cumsum(lengths)))
+        begins = np.append(np.flatnonzero(_begins(terms, FIRST)), len(terms))
         sources, first = list(self.sources), 0
         while first < len(terms):
-            last = min(first + INDEX_TERMS, len(terms))
-            while last < len(terms) and terms[last][:FIRST] == terms[last - 1][:FIRST]:
-                last += 1
+            last = begins[np.searchsorted(begins, min(first + INDEX_TERMS, len(terms)))]
             own = slice(bounds[first], bounds[last])
             yield [lang, sources, self.source_of, terms[first:last], lengths[first:last], doc[own], count[own]]
             first = last
@@ -97,19 +102,26 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         for lang, stretch in held.items():
-            for row in stretch.rows(lang):
+            for _, *single, terms, lengths, docs, counts in stretch.rows(lang):
                 names = [f.strip().split(" ")[0] for f in INDEX.split(",")]
-                kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.binary())] + 3 * [pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+                values = [pa.array([lang], pa.string())]
+                values += [pa.array([v], pa.list_(kind)) for v, kind in zip(single, (pa.string(), pa.int32()))]
+                ends = pa.array([0, len(terms)], pa.int32())
+                values += [pa.ListArray.from_arrays(ends, v) for v in (terms, pa.array(lengths, pa.int32()))]
+                ends = pa.array([0, len(docs)], pa.int32())
+                values += [pa.ListArray.from_arrays(ends, pa.array(v, pa.int32())) for v in (docs, counts)]
+                yield pa.RecordBatch.from_arrays(values, names=names)
         held.clear()
 
     for batch in batches:
-        for text, lang, source in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            held.setdefault(lang, _Stretch()).add(text, source)
-            size += len(text)
-            if size > STRETCH_BYTES:
-                yield from out()
-                size = 0
+        langs, sources = (np.array(batch.column(k).to_pylist(), object) for k in (1, 2))
+        for lang in dict.fromkeys(langs):
+            own = langs == lang
+            held.setdefault(lang, _Stretch()).add(batch.column(0).filter(pa.array(own)), sources[own].tolist())
+        size += batch.column(0).nbytes
+        if size > STRETCH_BYTES:
+            yield from out()
+            size = 0
     yield from out()
 
 

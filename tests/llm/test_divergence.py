@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from headway.llm import divergence as M
@@ -81,6 +82,22 @@ def test_stretches_and_rows_of_the_index_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, M.audit(frame(spark, rows(2))).collect())) == plain(rows(2), 10, 10)
 
 
+def test_a_stretch_is_indexed_from_whole_arrays():
+    """Terms of texts without marks between them, capitals, bytes beyond ASCII, nulls and empty texts."""
+    texts = ["b a B", None, "Éa a1a", "", "zz", "zz,aé"]
+    stretch = M._Stretch()
+    stretch.add(pa.array(texts[:2], pa.string()), ["x", "y"])
+    stretch.add(pa.array(texts, pa.string())[2:], ["x", "x", "y", "z"])
+    found = Counter()
+    for lang, sources, source_of, terms, lengths, docs, counts in stretch.rows("en"):
+        assert lang == "en" and terms.to_pylist() == sorted(terms.to_pylist())
+        owner = [t for t, n in zip(terms.to_pylist(), lengths) for _ in range(n)]
+        for term, doc, count in zip(owner, docs, counts, strict=True):
+            found[term.decode(), int(doc)] += int(count)
+    assert found == Counter((t, k) for k, text in enumerate(texts) for t in TERM.findall((text or "").translate(LOWER)))
+    assert [sources[k] for k in source_of] == ["x", "y", "x", "x", "y", "z"]
+
+
 def test_a_bitmap_that_lets_everything_through_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(M, "_bitmap", lambda prefixes, length=None: b"\xff" * (M.BITMAP_BITS // 8))
     assert sorted(map(tuple, M.audit(frame(spark, rows(3))).collect())) == plain(rows(3), 10, 10)
