@@ -12,10 +12,12 @@ discounting one order up. Neither rule knows the size of the corpus.
 A text's evidence is the difference of its two log-likelihoods per word, and how
 much of it comes from words far likelier in toxic texts. Both are sums over the
 text's expressions, held as whole numbers (``UNIT`` to one), so their order is
-irrelevant. The counted expressions are a written table. The ``FREQUENT`` most
-frequent ones are broadcast; occurrences of all others are joined to the table,
-of those only that a bitmap of ``BITMAP_BITS`` lets through (it passes every
-counted expression). The division changes where sums are made, not the sums.
+irrelevant. The counted expressions are a written table. Those that make up one in
+``FREQUENT`` of the counted words or more are broadcast, so their number has a bound
+and the share of occurrences left does not follow from the corpus' size; occurrences
+of all others are joined to the table, of those only that a bitmap of ``BITMAP_BITS``
+lets through (it passes every counted expression). The division changes where sums
+are made, not the sums.
 
 A logistic curve turns the evidence into a score; it is fitted on at most
 ``CALIBRATION_ROWS`` labelled rows, drawn by a hash of the id before anything is
@@ -42,8 +44,9 @@ from headway.llm.staging import bounded_batches, staged, unused
 
 DISCOUNT = 0.75
 MIN_COUNT = 3
-#: Expressions broadcast, and bits of the bitmap of all; they bound memory and change no result.
-FREQUENT = 1 << 18
+#: An expression broadcast is one in so many words at least, so twice as many at most (words and pairs); bits of the
+#: bitmap of all. They bound memory and change no result.
+FREQUENT = 1 << 21
 BITMAP_BITS = 1 << 26
 PROBES = 3
 _BLOCK_BITS = 8 * 4096
@@ -158,12 +161,13 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Totals:
-    """Of each class (toxic, ordinary): continuation counts, discounts for counts 1, 2 and more, and backoff's share; of both: types."""
+    """Of each class (toxic, ordinary): continuation counts, discounts for counts 1, 2 and more, and backoff's share; of both: types, words."""
 
     counts: tuple[float, float]
     discounts: tuple[list[float], list[float]]
     backoff: tuple[float, float]
     types: float
+    tokens: int
 
     def word(self, own: tuple[Column, Column], types: Column) -> list[Column]:
         """A word's probability in each class."""
@@ -227,7 +231,7 @@ def count_model(training: DataFrame) -> tuple[DataFrame, Totals] | None:
         (d[0] * n[0] + d[1] * n[1] + d[2] * more) / total
         for d, n, more, total in zip(discounts, tallies, found[13:15], found[:2])
     )
-    totals = Totals((found[0], found[1]), discounts, backoff, found[2])
+    totals = Totals((found[0], found[1]), discounts, backoff, found[2], int(found[3] + found[4]))
 
     word = words.select("word", *(F.col(c).alias(f"w_{c}") for c in COUNTS[2:]))
     context = counted.where(F.col("kind") == CONTEXT).select(
@@ -376,7 +380,7 @@ def _sums(df: DataFrame, frequent, bitmap, entries: DataFrame, parts: tuple[Colu
     label = ["label"] if "label" in df.columns else []
     others = rows.where(F.size("keys") > 0).select("row", *label, F.inline(F.arrays_zip("keys", "times", "own")))
     added = (
-        others.join(_small(entries), F.col("keys") == F.col("key"))
+        others.join(entries, F.col("keys") == F.col("key"))
         .select("row", *((F.col("times") * part).alias(f"b{k}") for k, part in enumerate(parts)))
         .groupBy("row")
         .agg(F.sum("b0").alias("b0"), F.sum("b1").alias("b1"))
@@ -406,6 +410,17 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def divided(model: DataFrame, totals: Totals) -> tuple[list[np.ndarray], DataFrame]:
+    """key, evidence and strong evidence of the model's frequent expressions, sorted by key, and of all others as a table."""
+    zero = F.lit(0)
+    parts = [p.alias(f"d{k}") for k, p in enumerate(_evidence(totals, zero, zero, zero))]
+    is_frequent = (F.col("toxic") + F.col("ordinary")) * FREQUENT >= totals.tokens
+    top = model.where(is_frequent).select("key", *parts).toArrow()
+    columns = [top.column(c).to_numpy() for c in ("key", "d0", "d1")]
+    order = np.argsort(columns[0])
+    return [c[order] for c in columns], model.where(~is_frequent).select("key", *parts)
+
+
 def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Learns from ``docs`` and ``labels``; the result turns a table whose first column is a text into its other columns and ``score``."""
     spark = docs.sparkSession
@@ -417,15 +432,8 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFram
         share = training.agg(F.avg("label")).first()[0] or 0.0
         return lambda df: df.drop(df.columns[0]).withColumn("score", F.lit(float(share)))
     model, totals = counted
-    zero = F.lit(0)
-    parts = [p.alias(f"d{k}") for k, p in enumerate(_evidence(totals, zero, zero, zero))]
-    entries = model.select("key", (F.col("toxic") + F.col("ordinary")).alias("n"), *parts)
-    top = entries.orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
-    if len(top):
-        n, key = int(top["n"].iloc[-1]), int(top["key"].iloc[-1])
-        entries = entries.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("key") > key)))
-    top = top.sort_values("key")
-    frequent = spark.sparkContext.broadcast([top[c].to_numpy(np.int64) for c in ("key", "d0", "d1")])
+    top, entries = divided(model, totals)
+    frequent = spark.sparkContext.broadcast(top)
     nothing = spark.sparkContext.broadcast([np.empty(0, np.int64)] * 3)
     bitmap = spark.sparkContext.broadcast(_bitmap(model))
 
@@ -435,7 +443,7 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[DataFrame], DataFram
     weights = _logistic(sample[[f"f{k}" for k in range(4)]].to_numpy(), sample["label"].to_numpy())
 
     def score(df: DataFrame) -> DataFrame:
-        sums = _sums(df, frequent, bitmap, entries.drop("n"), (F.col("d0"), F.col("d1")))
+        sums = _sums(df, frequent, bitmap, entries, (F.col("d0"), F.col("d1")))
         z = F.lit(float(weights[-1]))
         for f, w in zip(_features(), weights):
             z = z + f * float(w)

@@ -89,6 +89,28 @@ def test_scores_do_not_depend_on_the_broadcast(spark, monkeypatch, frequent, joi
     assert _scores(spark, rows) == whole
 
 
+def test_broadcast_expressions_follow_from_their_share(spark, monkeypatch):
+    """The same words are broadcast from a corpus and from six copies of it, and all others stay a table."""
+    monkeypatch.setattr(toxicity, "FREQUENT", 100)
+    found = []
+    for copies in (1, 6):
+        training = spark.createDataFrame([(t, label) for _, t, label in _labelled()] * copies, "t string, label int")
+        model, totals = toxicity.count_model(training)
+        top, others = toxicity.divided(model, totals)
+        assert sorted(top[0]) == list(top[0]) and len(top[0]) <= 2 * toxicity.FREQUENT
+        assert sorted([*top[0], *(r.key for r in others.collect())]) == sorted(r.key for r in model.select("key").collect())
+        words = {r.key for r in model.where(F.col("kind") == toxicity.WORD).select("key").collect()}
+        found.append(words & set(top[0].tolist()))
+    assert found[0] == found[1] and 0 < len(found[0]) < len(words)
+
+
+def test_sums_of_broadcast_and_joined_expressions(spark, monkeypatch):
+    rows = _labelled()
+    whole = _scores(spark, rows)
+    monkeypatch.setattr(toxicity, "FREQUENT", 100)
+    assert _scores(spark, rows) == whole
+
+
 def test_rare_expressions_are_scored_at_any_size(spark):
     """A word seen once among toxic texts is evidence beside thirty texts and beside three hundred."""
     for count in (30, 300):
