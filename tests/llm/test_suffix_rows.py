@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from headway.llm import suffix_dedup
 from tests.llm.samples import prose
@@ -59,3 +60,19 @@ def test_near_copies_of_one_text(spark):
         changed[(k * 37) % 260] = f"own{k}"
         rows.append((k, " ".join(changed)))
     check(spark, rows)
+
+
+def test_windows_are_hashed_in_small_slices(monkeypatch):
+    """Few bytes at a time, since each takes eight and more in every array; the slices change no anchor."""
+    draw = np.random.default_rng(3)
+    texts = ["".join(map(chr, draw.integers(97, 123, 60_000))) for _ in range(24)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(24)), pa.array(texts)], names=["key", "text"])
+    sizes = [len(part) for _, part, *_ in suffix_dedup._windows(batch.column(1))]
+    assert sum(sizes) == 24 * 60_000 and max(sizes) <= 1 << 19
+
+    def anchors():
+        return sorted(r for b in suffix_dedup._anchors(iter([batch])) for r in zip(*b.to_pydict().values()))
+
+    whole = anchors()
+    monkeypatch.setattr(suffix_dedup, "HASHED_BYTES", 1)
+    assert anchors() == whole
