@@ -54,12 +54,14 @@ BROADCAST_IDS = 1_000_000
 PAIRWISE_MEMBERS = 64
 #: A region's centre is taken from about so many drawn sets; any centre gives the same links.
 CENTRE_SETS = 64
+#: Text bytes hashed at a time: every byte takes eight bytes in each of several arrays. It bounds memory, not results.
+HASHED_BYTES = 1 << 19
 
 
 def shingle_sets(column: pa.Array, words: Words, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
     """Row and sorted set of shingle hashes for every text with words."""
     data, bounds = utf8(column)
-    for first, last in slices(bounds):
+    for first, last in slices(bounds, HASHED_BYTES):
         own = bounds[first : last + 1] - bounds[first]
         part = data[bounds[first] : bounds[last]]
         starts, ends = words.bounds(part, own)

@@ -90,12 +90,23 @@ def _pair_keys(ids: np.ndarray, context: np.ndarray) -> np.ndarray:
     return mixed(ids ^ mixed(context + np.uint64(1)))
 
 
+def _slices_of_words(batch: pa.RecordBatch, toxic: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Label, hash and context of the words of some ``SLICE_BYTES`` of text, hashed ``SCORED_BYTES`` at a time."""
+    bounds = utf8(batch.column(0))[1]
+    for first, last in slices(bounds):
+        parts = [
+            (toxic[first + at + rows], ids, context)
+            for at, _, rows, ids, context in _words(batch.slice(first, last - first), 0, SCORED_BYTES)
+        ]
+        if parts:
+            yield tuple(map(np.concatenate, zip(*parts)))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pair counts per class, summed within each slice."""
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for first, _, rows, ids, context in _words(batch, 0):
-            bad = toxic[first + rows]
+        for bad, ids, context in _slices_of_words(batch, toxic):
             unique, at, place = np.unique(_pair_keys(ids, context), return_index=True, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[at].view(np.int64)), pa.array(context[at].astype(np.uint32).view(np.int32))]
