@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.kernels import Words, mixed, rows_of, utf8
+from headway.llm.kernels import Words, mixed, rows_of, slices, utf8
 from headway.llm.staging import bounded_batches, staged
 
 MIN_DOCS = 10
@@ -46,6 +46,8 @@ FIRST = 3
 #: Text bytes of one stretch (its last batch may exceed them), and terms of one row of its index.
 STRETCH_BYTES = 16 << 20
 INDEX_TERMS = 4096
+#: The index's files: sizes of row groups and pages hold from the first row on, not from the hundredth.
+INDEX_FILES = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1"}
 BITMAP_BITS = 1 << 26
 _BLOCK_BITS = 8 * 4096
 #: A term is a run of ASCII letters and bytes beyond ASCII, its capitals A to Z in lower case.
@@ -55,33 +57,54 @@ INDEX = "lang string, sources array<string>, source_of array<int>, terms array<b
 
 
 class _Stretch:
-    """The inverted index of some documents of one language."""
+    """The inverted index of some documents of one language.
+
+    Texts are split ``SLICE_BYTES`` at a time; only each slice's distinct terms and their
+    documents are held until the stretch is written.
+    """
 
     def __init__(self):
-        self.texts: list[pa.Array] = []
+        self.parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
         self.sources: dict[str, int] = {}
         self.source_of = array("i")
 
     def add(self, texts: pa.Array, sources: list[str]) -> None:
-        self.texts.append(texts)
+        data, bounds = utf8(texts)
+        for first, last in slices(bounds):
+            own = bounds[first : last + 1]
+            self._split(data[own[0] : own[-1]], own - own[0], len(self.source_of) + first)
         self.source_of.extend([self.sources.setdefault(s, len(self.sources)) for s in sources])
 
-    def _terms(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct terms and how many documents hold each; then, term by term, these documents and the occurrences there."""
-        data, bounds = utf8(pa.concat_arrays(self.texts))
+    def _split(self, data: np.ndarray, bounds: np.ndarray, doc: int) -> None:
+        """Hold the slice's distinct terms and, for each term and document from ``doc`` on, the occurrences there."""
         starts, ends = _WORDS.bounds(data, bounds)
-        inside = data[~_WORDS.is_separator[data]]
         offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-        raw = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_LOWER[inside])]
+        inside = _LOWER[data[~_WORDS.is_separator[data]]]
+        raw = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(inside)]
         found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), raw).dictionary_encode()
+        n = len(bounds) - 1
+        both, counts = np.unique(found.indices.to_numpy().astype(np.int64) * n + rows_of(bounds, starts), return_counts=True)
+        self.parts.append((found.dictionary, *(x.astype(np.int32) for x in (both // n, both % n + doc, counts))))
+
+    def _terms(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct terms and how many documents hold each; then, term by term, these documents and the occurrences there."""
+        n = len(self.source_of)
+        found = pa.concat_arrays([pa.array([], pa.large_binary()), *(terms for terms, *_ in self.parts)]).dictionary_encode()
         order = pc.array_sort_indices(found.dictionary)
         place = np.empty(len(order), np.int64)
         place[order.to_numpy()] = np.arange(len(order))
-        n = len(self.source_of)
-        both = np.sort(place[found.indices.to_numpy()] * n + rows_of(bounds, starts))
-        first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))[: len(both)])
-        lengths = np.bincount(both[first] // n, minlength=len(order))
-        return found.dictionary.take(order).cast(pa.binary()), lengths, both[first] % n, np.diff(np.append(first, len(both)))
+        place = place[found.indices.to_numpy()]
+        both, counts, first = [np.empty(0, np.int64)], [np.empty(0, np.int32)], 0
+        while self.parts:
+            terms, own, docs, count = self.parts.pop(0)
+            both.append(place[first : first + len(terms)][own] * n + docs)
+            counts.append(count)
+            first += len(terms)
+        both, counts = np.concatenate(both), np.concatenate(counts)
+        at = np.argsort(both)
+        both, counts = both[at], counts[at]
+        lengths = np.bincount(both // n, minlength=len(order)) if n else np.zeros(0, np.int64)
+        return found.dictionary.take(order).cast(pa.binary()), lengths, (both % n).astype(np.int32) if n else both, counts
 
     def rows(self, lang: str) -> Iterator[list]:
         """Index rows of about ``INDEX_TERMS`` sorted terms; terms with one first prefix share a row."""
@@ -122,10 +145,12 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size > STRETCH_BYTES:
             yield from out()
             size = 0
+            pa.default_memory_pool().release_unused()
     yield from out()
+    pa.default_memory_pool().release_unused()
 
 
-def _numbers(batch: pa.RecordBatch, column: int, row: int) -> np.ndarray:
+def _numbers(batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
     return batch.column(column)[row].values.to_numpy(zero_copy_only=False)
 
 
@@ -177,7 +202,7 @@ def _level_counter(length: int, shared):
         bitmap = None if shared is None else np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, terms = batch.column(0)[row].as_py(), batch.column(3)[row].values
+                lang, terms = batch.column("lang")[row].as_py(), batch.column("terms")[row].values
                 alive = np.ones(len(terms), bool)
                 if bitmap is not None:
                     hashes, ended = _hashes(lang.encode(), terms, length // 2)
@@ -189,8 +214,8 @@ def _level_counter(length: int, shared):
                 group = np.full(len(terms), -1)
                 group[alive] = np.cumsum(begins) - 1
                 prefixes = pc.binary_slice(live.filter(pa.array(begins)), 0, length)
-                own = np.repeat(group, _numbers(batch, 4, row))
-                docs = _numbers(batch, 5, row).astype(np.int64)
+                own = np.repeat(group, _numbers(batch, "lengths", row))
+                docs = _numbers(batch, "docs", row).astype(np.int64)
                 top = docs.max() + 1
                 distinct = np.unique((own * top + docs)[own >= 0])
                 yield pa.RecordBatch.from_arrays(
@@ -213,15 +238,15 @@ def _term_counter(shared):
         bitmap = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, sources = batch.column(0)[row].as_py(), batch.column(1)[row].values
-                terms = batch.column(3)[row].values
+                lang, sources = batch.column("lang")[row].as_py(), batch.column("sources")[row].values
+                terms = batch.column("terms")[row].values
                 kept = _is_set(bitmap, _hashes(lang.encode(), terms)[0])
                 number = np.where(kept, np.cumsum(kept) - 1, -1)
-                term = np.repeat(number, _numbers(batch, 4, row))
-                source = _numbers(batch, 2, row)[_numbers(batch, 5, row)]
+                term = np.repeat(number, _numbers(batch, "lengths", row))
+                source = _numbers(batch, "source_of", row)[_numbers(batch, "docs", row)]
                 own = term >= 0
                 places, at = np.unique((term * len(sources) + source)[own], return_inverse=True)
-                found = np.bincount(at, _numbers(batch, 6, row)[own], len(places)).astype(np.int64)
+                found = np.bincount(at, _numbers(batch, "counts", row)[own], len(places)).astype(np.int64)
                 bounds = pa.array(np.searchsorted(places // len(sources), np.arange(kept.sum() + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -269,7 +294,8 @@ def _inputs(docs: DataFrame) -> DataFrame:
 def index_terms(docs: DataFrame) -> DataFrame:
     """The written inverted index of all documents, in stretches."""
     bounded_batches(docs.sparkSession)
-    return staged(_inputs(docs).mapInArrow(_index, INDEX))
+    # A row is wide, and Spark decodes up to 4096 of a row group at once: a group of the default size takes most of a heap.
+    return staged(_inputs(docs).mapInArrow(_index, INDEX), INDEX_FILES)
 
 
 def kept_terms(index: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -278,7 +304,8 @@ def kept_terms(index: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     length, shared, kept = FIRST, None, None
     while True:
         level = staged(
-            index.mapInArrow(_level_counter(length, shared), "lang string, prefix binary, complete boolean, docs long")
+            index.select("lang", "terms", "lengths", "docs")
+            .mapInArrow(_level_counter(length, shared), "lang string, prefix binary, complete boolean, docs long")
             .groupBy("lang", "prefix", "complete")
             .agg(F.sum("docs").alias("docs"))
             .where(F.col("docs") >= min_docs)

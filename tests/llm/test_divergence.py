@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from headway.llm import divergence as M
@@ -98,6 +99,27 @@ def test_a_stretch_is_indexed_from_whole_arrays():
     assert [sources[k] for k in source_of] == ["x", "y", "x", "x", "y", "z"]
 
 
+def test_the_index_has_row_groups_of_bounded_size(spark):
+    """A reader decodes a row group at once, however few rows it has."""
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(2000)) for _ in range(400)]
+    docs = spark.createDataFrame([(t, "en", "a") for t in texts], "text string, lang string, source string")
+    files = [f.removeprefix("file:") for f in M.index_terms(docs.coalesce(1)).inputFiles()]
+    found = [pq.ParquetFile(f).metadata for f in files]
+    sizes = [m.row_group(k).total_byte_size for m in found for k in range(m.num_row_groups)]
+    assert sum(sizes) > 8 << 20 and max(sizes) < 6 << 20
+
+
+def test_a_stretch_holds_terms_instead_of_texts():
+    stretch = M._Stretch()
+    for _ in range(3):
+        stretch.add(pa.array(["of a few words " * 70_000, "more"]), ["x", "y"])
+    assert sum(p.nbytes for part in stretch.parts for p in part) < 1000
+    [row] = stretch.rows("en")
+    assert row[3].to_pylist() == [b"a", b"few", b"more", b"of", b"words"]
+    assert [list(x) for x in row[4:]] == [[3] * 5, [0, 2, 4, 0, 2, 4, 1, 3, 5, 0, 2, 4, 0, 2, 4], [70_000] * 6 + [1] * 3 + [70_000] * 6]
+
+
 def test_a_bitmap_that_lets_everything_through_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(M, "_bitmap", lambda prefixes, length=None: b"\xff" * (M.BITMAP_BITS // 8))
     assert sorted(map(tuple, M.audit(frame(spark, rows(3))).collect())) == plain(rows(3), 10, 10)
